@@ -63,7 +63,7 @@ class Words:
 
     def __init__(self, texts: list[bytes], lower: bool = False):
         self.blob = b"\n".join(texts)
-        buf = np.frombuffer(self.blob, dtype=np.uint8)
+        self.buf = buf = np.frombuffer(self.blob, dtype=np.uint8)
         values, inside = tables(lower)
         word = np.zeros(len(buf) + 2, dtype=np.int8)
         word[1:-1] = inside[buf]

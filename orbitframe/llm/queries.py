@@ -10,6 +10,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fractions import Fraction
+
+    from .minhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), least=Fraction(85, 100))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge, place_rule, word_rule
 
@@ -65,6 +79,8 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 """
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op4_url_filters": op4_url_filters,
     "op8_chat_formatting": op8_chat_formatting,
 }
