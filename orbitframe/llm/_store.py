@@ -51,3 +51,11 @@ def _clean() -> None:
                 _delete(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone at exit
             return
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -52,6 +52,12 @@ SELECT page_id, host, path, rule, CASE
 """
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import drop_repeats
+
+    return drop_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import conversations_formatted, read_back
 
@@ -82,6 +88,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op4_url_filters": op4_url_filters,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
 }
 ORACLE_SQL = {"op4_url_filters": OP4_SQL, "op8_chat_formatting": OP8_SQL}
