@@ -84,6 +84,15 @@ b AS (SELECT conv_id, count(*)::BIGINT AS n_turns,
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM b
 """
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import learn, score
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -91,4 +100,5 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
 }
+QUERIES["op9_toxicity"] = op9_toxicity
 ORACLE_SQL = {"op4_url_filters": OP4_SQL, "op8_chat_formatting": OP8_SQL}
