@@ -45,15 +45,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def tables(lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit value for each byte, and whether it is part of a word."""
-    key = ("tables", lower)
+def tables(lower: bool, letters: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value for each byte, and whether it is part of a word (letters: no ASCII signs are)."""
+    key = ("tables", lower, letters)
     if key not in cache():
         values = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
         if lower:
             values[65:91] = values[97:123]
         inside = np.ones(256, dtype=bool)
         inside[[9, 10, 11, 12, 13, 32]] = False
+        if letters:
+            inside[[b for b in range(128) if not chr(b).isalnum()]] = False
         cache()[key] = values, inside
     return cache()[key]
 
@@ -61,10 +63,10 @@ def tables(lower: bool) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of some texts, given as bytes: hashes, places, and the text each belongs to."""
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, letters: bool = False):
         self.blob = b"\n".join(texts)
         self.buf = buf = np.frombuffer(self.blob, dtype=np.uint8)
-        values, inside = tables(lower)
+        values, inside = tables(lower, letters)
         word = np.zeros(len(buf) + 2, dtype=np.int8)
         word[1:-1] = inside[buf]
         edge = np.diff(word)

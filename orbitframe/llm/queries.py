@@ -93,6 +93,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -101,4 +107,5 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
 }
 QUERIES["op9_toxicity"] = op9_toxicity
+QUERIES["op10_decontaminate"] = op10_decontaminate
 ORACLE_SQL = {"op4_url_filters": OP4_SQL, "op8_chat_formatting": OP8_SQL}
