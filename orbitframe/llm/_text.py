@@ -94,8 +94,8 @@ class Words:
         return at, mix((total[at + k] - total[at]) * down[at] + U(k))
 
 
-def batches(arrow_batches, columns: list[str]) -> Iterator[list[tuple]]:
-    """Rows of Arrow batches, text first and as bytes (null: empty), about BATCH bytes at a time."""
+def batches(arrow_batches, columns: list[str], most: int = BATCH) -> Iterator[list[tuple]]:
+    """Rows of Arrow batches, text first and as bytes (null: empty), about `most` bytes at a time."""
     import pyarrow as pa
 
     rows, size = [], 0
@@ -106,7 +106,7 @@ def batches(arrow_batches, columns: list[str]) -> Iterator[list[tuple]]:
             text = row[0] or b""
             rows.append((text, *row[1:]))
             size += len(text)
-            if size >= BATCH:
+            if size >= most:
                 yield rows
                 rows, size = [], 0
     if rows:

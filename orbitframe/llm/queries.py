@@ -58,6 +58,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import conversations_formatted, read_back
 
@@ -104,6 +112,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_packing": op7_packing,
     "op8_chat_formatting": op8_chat_formatting,
 }
 QUERIES["op9_toxicity"] = op9_toxicity
