@@ -58,6 +58,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -112,6 +118,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_chat_formatting": op8_chat_formatting,
 }
