@@ -24,6 +24,26 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), least=Fraction(85, 100))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import drop_lines
+
+    found = drop_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+WITH l AS (SELECT doc_id, pos, list_extract(parts, pos) AS raw, trim(list_extract(parts, pos)) AS line FROM
+             (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS pos FROM documents)),
+c AS (SELECT line, min(doc_id * 1000000 + pos) AS first FROM l WHERE length(line) >= 20 GROUP BY line),
+near AS (SELECT DISTINCT b.line FROM c a JOIN c b ON a.first < b.first AND length(a.line) BETWEEN length(b.line) - 2 AND length(b.line) + 2
+           WHERE levenshtein(a.line, b.line) <= 2),
+j AS (SELECT l.doc_id, l.pos, l.raw, coalesce(c.first <> l.doc_id * 1000000 + l.pos OR near.line IS NOT NULL, false) AS gone
+      FROM l LEFT JOIN c ON l.line = c.line LEFT JOIN near ON l.line = near.line)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM j GROUP BY doc_id
+"""
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge, place_rule, word_rule
 
@@ -116,6 +136,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_pii": op6_pii,
@@ -124,4 +145,4 @@ QUERIES = {
 }
 QUERIES["op9_toxicity"] = op9_toxicity
 QUERIES["op10_decontaminate"] = op10_decontaminate
-ORACLE_SQL = {"op4_url_filters": OP4_SQL, "op8_chat_formatting": OP8_SQL}
+ORACLE_SQL = {"op3_line_dedup": OP3_SQL, "op4_url_filters": OP4_SQL, "op8_chat_formatting": OP8_SQL}
