@@ -107,9 +107,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
         for rows in batches(it, ["text", "doc_id"]):
             m = measure([r[0] for r in rows])
-            code = (votes(m) + 1) @ (3 ** np.arange(len(RULES)))
             cols = [pa.array([r[1] for r in rows], pa.int64())]
-            cols += [pa.array(m[c.split()[0]].astype(np.int64)) for c in COLUMNS.split(", ")] + [pa.array(code.astype(np.int32))]
+            cols += [pa.array(m[c.split()[0]].astype(np.int64)) for c in COLUMNS.split(", ")] + [pa.array(code_of(m).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", *(c.split()[0] for c in COLUMNS.split(", ")), "code"])
 
     return docs.select("text", F.col("doc_id").cast("long")).mapInArrow(run, f"doc_id long, {COLUMNS}, code int")
@@ -138,13 +137,42 @@ def fit(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
     return p
 
 
+def code_of(m: dict[str, np.ndarray]) -> np.ndarray:
+    """The votes of each text as one number in base 3."""
+    return (votes(m) + 1) @ (3 ** np.arange(len(RULES)))
+
+
+def posteriors(rows: DataFrame) -> dict[int, float]:
+    """The probability of good for each vote pattern in rows (code)."""
+    found = rows.groupBy("code").count().orderBy("code").collect()  # 3**11 rows at most
+    codes, counts = np.array([r[0] for r in found], dtype=np.int64), np.array([r[1] for r in found], dtype=float)
+    return dict(zip(codes.tolist(), fit(codes, counts).tolist())) if len(codes) else {}
+
+
+def keep_good(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of docs that judge() would keep, all columns as they are; two scans and no shuffle of texts."""
+    table = posteriors(scan(docs))
+    place = docs.columns.index("text")
+
+    def run(it):
+        import pyarrow as pa
+
+        for b in it:
+            mask: list[bool] = []
+            for rows in batches([b], [b.schema.names[place]]):
+                m = measure([r[0] for r in rows])
+                failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+                good = np.array([table.get(c, 0.0) >= least for c in code_of(m).tolist()], dtype=bool)
+                mask += (~failed & good).tolist()
+            yield b.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """doc_id, the base counts, base_failed, quality (the posterior) and kept, one row for each row of docs."""
     rows = materialise(scan(docs), "quality")
-    found = rows.groupBy("code").count().orderBy("code").collect()  # 3**11 rows at most
-    codes, counts = np.array([r[0] for r in found], dtype=np.int64), np.array([r[1] for r in found], dtype=float)
-    p = fit(codes, counts) if len(codes) else np.zeros(0)
-    table = docs.sparkSession.createDataFrame(list(zip(codes.tolist(), p.tolist())), "code int, quality double")
+    table = docs.sparkSession.createDataFrame(list(posteriors(rows).items()), "code int, quality double")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.join(F.broadcast(table), "code").withColumn("base_failed", failed)
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least)).drop("code")
