@@ -160,7 +160,8 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, least: Fraction, n_mar
     """Confirmed links (a, b) within clusters (id, cluster); docs has id and text, one row for each class."""
     size = clusters.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
     placed = clusters.join(size.filter("size > 1"), "cluster").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
-    rows = docs.join(placed.select("id", "cluster", "chunks", "chunk"), "id")
+    # a merge join at every size: whether the members would fit a broadcast depends on the corpus
+    rows = docs.join(placed.select("id", "cluster", "chunks", "chunk").hint("merge"), "id")
 
     def sets(it):
         import pyarrow as pa
