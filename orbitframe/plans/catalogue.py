@@ -1,4 +1,7 @@
-"""The queries over the driver's tables, and their SQL."""
+"""All queries over the driver's tables, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from orbitframe.plans import aggregates, decisions, filters, joins, rasters, scalars, spatial  # noqa: F401
+from orbitframe.plans.registry import catalogue
+
+QUERIES = catalogue.queries
+ORACLE_SQL = catalogue.sql
