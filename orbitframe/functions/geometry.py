@@ -12,6 +12,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 _COORDINATES = "array<array<array<array<double>>>>"
@@ -229,22 +230,22 @@ def lies_in(one: str, two: str) -> bool:
         middles = [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for a, b in _edges(p)]
         if any(inside(v, q) < 0 for v in [*p[0], *middles]) or any(_cross(*e, *f, proper=True) for e in _edges(p) for f in _edges(q)):
             return False
-        return all(inside(v, [p[0]]) <= 0 for hole in q[1:] for v in hole)
+        return all(inside(v, p) <= 0 for hole in q[1:] for v in hole)
 
     return all(any(covered(p, q) for q in rings_of(two)) for p in rings_of(one))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def polygons_meet(one: pd.Series, two: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else meet(a, b) for a, b in zip(one, two)], dtype="object")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def polygon_within(one: pd.Series, two: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else lies_in(a, b) for a, b in zip(one, two)], dtype="object")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def convex_hull(wkt: pd.Series) -> pd.Series:
     return pd.Series([None if w is None else ring_text([[hull([p for poly in rings_of(w) for r in poly for p in r])]]) for w in wkt], dtype="object")
 
@@ -271,7 +272,7 @@ def fitting(wkt: str, most: int, tolerances: tuple[float, ...] = TOLERANCES) ->
 
 
 def simplified(wkt: Column, most: int = 20_000) -> Column:
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([None if w is None else fitting(w, most) for w in texts], dtype="object")
 

@@ -122,7 +122,7 @@ def source(name: str, schema: str, fetch: Callable[[str, str, int, int], list[tu
         def schema(self) -> str:
             return schema
 
-        def reader(self, _schema) -> DataSourceReader:
+        def reader(self, schema) -> DataSourceReader:
             return _Reader(self.options, fetch)
 
     return CatalogueSource
