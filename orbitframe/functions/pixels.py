@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orbitframe.functions.columns import once
+
 NODATA = 65535
 TOP = 65534
 
@@ -36,13 +38,13 @@ def blocks(pixels: Column, side: int, factor: int, combine) -> Column:
     """A square tile made coarser: combine(array of a block's values) for each block, in row order."""
     n = -(-side // factor)
 
-    def one(i):
+    def one(i, pixels):
         top, left = F.floor(i / n) * factor, (i % n) * factor
         cells = F.sequence(F.lit(0), F.lit(factor * factor - 1))
         inside = F.filter(cells, lambda k: (top + F.floor(k / factor) < side) & (left + k % factor < side))
         return combine(F.transform(inside, lambda k: F.get(pixels, ((top + F.floor(k / factor)) * side + left + k % factor).cast("int"))))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), one)
+    return once(pixels, lambda p: F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: one(i, p)))
 
 
 def coarsen_max(pixels: Column, side: int, factor: int) -> Column:
@@ -55,7 +57,5 @@ def coarsen_mean(pixels: Column, side: int, factor: int) -> Column:
 
 def nearest(pixels: Column, side: int, new_side: int) -> Column:
     """A square tile at another size, each new pixel taken from the old one at its place."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(new_side * new_side - 1)),
-        lambda i: F.get(pixels, (F.floor(F.floor(i / new_side) * side / new_side) * side + F.floor((i % new_side) * side / new_side)).cast("int")),
-    )
+    place = lambda i: (F.floor(F.floor(i / new_side) * side / new_side) * side + F.floor((i % new_side) * side / new_side)).cast("int")
+    return once(pixels, lambda p: F.transform(F.sequence(F.lit(0), F.lit(new_side * new_side - 1)), lambda i: F.get(p, place(i))))
