@@ -12,7 +12,7 @@ from orbitframe.session import session
 
 QUERIES = (
     "season_dedup", "season_filter", "yearly_windows", "dedup_last", "state_upsert", "predominant", "fully_cached", "missing_assets", "lookup_last",
-    "group_records", "storage_running", "skip_asf", "footprint_coverage", "masked_band", "catalog_search", "union_windows",
+    "group_records", "storage_running", "skip_product", "footprint_coverage", "masked_band", "catalog_search", "union_windows",
 )
 
 

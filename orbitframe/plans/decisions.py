@@ -11,7 +11,7 @@ from orbitframe.plans.registry import query
 CASE l_linenumber % 3 WHEN 0 THEN 0 WHEN 1 THEN (l_quantity * 10)::BIGINT ELSE 77 END AS expected FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN local IS NULL THEN 'download' WHEN expected > 0 AND local = expected THEN 'skip' WHEN expected > 0 THEN 'redownload'
 WHEN local > 0 THEN 'skip' ELSE 'download' END AS action FROM a""")
-def skip_cdse(t):
+def skip_asset(t):
     q, n = (F.col("l_quantity") * 10).cast("long"), F.col("l_linenumber")
     expected = F.when(n % 3 == 0, F.lit(0).cast("long")).when(n % 3 == 1, q).otherwise(77)
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", S.asset_action(F.when(n % 4 != 0, q), expected).alias("action"))
@@ -34,7 +34,7 @@ def products(t):
 
 @query(f"""WITH p AS ({PRODUCTS}) SELECT o_orderkey, local IS NOT NULL AND ((coalesce(local = expected, false) AND (checksum IS NULL OR verified OR file_checksum = checksum))
 OR (expected IS NULL AND checksum IS NOT NULL AND (verified OR file_checksum = checksum)) OR (expected IS NULL AND checksum IS NULL AND status = 'complete' AND recorded = local)) AS skipped FROM p""")
-def skip_asf(t):
+def skip_product(t):
     return products(t).select("o_orderkey", S.product_skipped(*[F.col(c) for c in ("local", "expected", "checksum", "verified", "file_checksum", "status", "recorded")]).alias("skipped"))
 
 
