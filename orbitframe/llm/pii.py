@@ -24,6 +24,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orbitframe.functions.columns import once
+
 from . import boosting
 
 # The patterns begin where a run of their characters does and never give back what they took:
@@ -53,16 +55,19 @@ def proposals(text: Column, kind: str, pattern: str) -> Column:
     """An array of (kind, k, match, gap, before, after): the matches in order; gap is the size of the text since the last one."""
     guard = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True) if kind == "secret" else F.regexp_like(text, F.lit("[0-9]"))
     found = F.when(guard, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    gaps = F.when(F.size(found) > 0, F.split(text, pattern, -1))
 
-    def one(m, i):
+    def one(m, i, gaps):
         before, after = F.get(gaps, i), F.get(gaps, i + 1)
         return F.struct(
             F.lit(kind).alias("kind"), i.alias("k"), m.alias("match"), F.length(before).alias("gap"),
             F.right(before, F.lit(AROUND)).alias("before"), F.left(after, F.lit(AROUND)).alias("after"),
         )
 
-    return F.coalesce(F.transform(found, one), F.array().cast("array<struct<kind:string,k:int,match:string,gap:int,before:string,after:string>>"))
+    def listed(matches):
+        gaps = F.when(F.size(matches) > 0, F.split(text, pattern, -1))
+        return once(gaps, lambda g: F.transform(matches, lambda m, i: one(m, i, g)))
+
+    return F.coalesce(once(found, listed), F.array().cast("array<struct<kind:string,k:int,match:string,gap:int,before:string,after:string>>"))
 
 
 def luhn(digits: Column) -> Column:
