@@ -46,16 +46,18 @@ class Encoder:
         self.begin = np.zeros(1 << 16, dtype=np.int64)
         self.size = np.zeros(1 << 16, dtype=np.int64)
 
-    def add(self, h: int, ids) -> None:
-        n = len(ids)
-        while self.used + n > len(self.ids):
+    def add(self, hashes: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember pieces: their hashes, their ids one after another, and how many each has."""
+        n, k = len(hashes), len(self.slot)
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), dtype=self.width)])
-        self.ids[self.used : self.used + n] = ids
-        k = self.slot[h] = len(self.slot)
-        if k == len(self.begin):
-            self.begin, self.size = (np.concatenate([x, np.zeros(k, dtype=np.int64)]) for x in (self.begin, self.size))
-        self.begin[k], self.size[k] = self.used, n
-        self.used += n
+        while k + n > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros(len(x), dtype=np.int64)]) for x in (self.begin, self.size))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.begin[k : k + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[k : k + n] = sizes
+        self.used += len(ids)
+        self.slot.update(zip(hashes, range(k, k + n)))
 
     def pieces(self, blob: bytes):
         """Begin, end, hash and oddness of each piece, and the lower-cased bytes."""
@@ -73,16 +75,18 @@ class Encoder:
         low = buf.copy()
         low[(buf >= 65) & (buf <= 90)] += 32
         low[good & (buf <= 0x9E)] += 32
-        space = kind == SPACE
-        edge = np.diff(np.concatenate([[1], space.astype(np.int8), [1]]))
-        word_begin, word_end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        odd_count = np.concatenate([[0], np.cumsum(kind == ODD)])
-        odd_word = odd_count[word_end] > odd_count[word_begin]
-        whole = np.zeros(len(buf) + 1, dtype=np.int8)  # inside words that stay whole
-        whole[word_begin[odd_word]] += 1
-        whole[word_end[odd_word]] -= 1
-        inside = np.cumsum(whole[:-1]) > 0
-        kind[inside] = ODD
+        inside = None  # inside words that stay whole
+        if (kind == ODD).any():
+            space = kind == SPACE
+            word_begin = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+            word_end = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+            odd_word = np.logical_or.reduceat(kind == ODD, word_begin) if len(word_begin) else np.zeros(0, bool)
+            whole = np.zeros(len(buf) + 1, dtype=np.int8)
+            whole[word_begin[odd_word]] += 1
+            whole[word_end[odd_word]] -= 1
+            inside = np.cumsum(whole[:-1], dtype=np.int8) > 0
+            kind[inside] = ODD
+            low[inside] = buf[inside]
         start = np.zeros(len(buf), dtype=bool)
         start[0] = True
         start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
@@ -91,7 +95,6 @@ class Encoder:
         keep = kind[begin] != SPACE
         begin, end = begin[keep], end[keep]
         odd = kind[begin] == ODD
-        low[inside] = buf[inside]
         values, _ = tables(False, False)
         up, down = powers(len(buf) + 1)
         total = np.zeros(len(buf) + 1, dtype=U)
@@ -125,16 +128,19 @@ class Encoder:
             part = plain[a : a + 4096]
             found = self.tokenizer.encode(" ".join(p[1] for p in part), add_special_tokens=False)
             of = np.array([-1 if x is None else x for x in found.word_ids], dtype=np.int64)
-            if len(of) and of[-1] == len(part) - 1 and len(np.unique(of)) == len(part):
-                ids = np.array(found.ids)
-                for (x, _), own in zip(part, np.split(ids, np.flatnonzero(np.diff(of)) + 1)):
-                    self.add(x, own)
+            sizes = np.bincount(of, minlength=len(part)) if len(of) and of[0] >= 0 else np.zeros(0, dtype=np.int64)
+            if len(sizes) == len(part) and sizes.min() > 0 and (np.diff(of) >= 0).all():
+                self.add([p[0] for p in part], np.array(found.ids), sizes)
             else:
                 for x, word in part:
-                    self.add(x, self.tokenizer.encode(word, add_special_tokens=False).ids)
+                    self.add_one(x, word)
         for x, k in new:
             if odd[k]:
-                self.add(x, self.tokenizer.encode(data[begin[k] : end[k]].decode(), add_special_tokens=False).ids)
+                self.add_one(x, data[begin[k] : end[k]].decode())
+
+    def add_one(self, h: int, word: str) -> None:
+        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.width)
+        self.add([h], ids, np.array([len(ids)]))
 
 
 def encoder(path: str) -> Encoder:
