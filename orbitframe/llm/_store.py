@@ -9,14 +9,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list = []
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="orbitframe-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="orbitframe-")
+        _own[spark.sparkContext.applicationId] = found
     return found.rstrip("/")
 
 
@@ -24,7 +25,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet under the shared folder and read it again: this cuts the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/orbitframe/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,6 +57,9 @@ def _clean() -> None:
 def tidy(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round frees may hold what the second one finds
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -22,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orbitframe.functions.columns import once
+
 from ._store import materialise, tidy
 
 EDITS = 2
 LEAST = 20
-#: Letters that are counted together, one count in each byte of a signature.
-LETTERS = ("ea", "tn", "io", "sr", "hd", "lu", "cmg", " .,")
+#: Letters that are counted, one count in each byte of a signature.
+LETTERS = "etnoiars"
 
 
 def lines_of(text: Column) -> Column:
@@ -37,8 +39,8 @@ def lines_of(text: Column) -> Column:
 def signature(line: Column) -> Column:
     """Counts of LETTERS modulo 256, one in each byte."""
     out = F.lit(0).cast("long")
-    for k, letters in enumerate(LETTERS):
-        count = (F.length(line) - F.length(F.translate(line, letters, ""))).cast("long")
+    for k, letter in enumerate(LETTERS):
+        count = (F.length(line) - F.length(F.replace(line, F.lit(letter)))).cast("long")
         out = out.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)), 8 * k))
     return out
 
@@ -59,15 +61,15 @@ def segment(length: Column, i: int) -> tuple[Column, Column]:
     return begin, end - begin
 
 
-def key(length: Column, i: int, line: Column, begin: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substr(line, begin + 1, size))
+def key(length: Column, i: int, wide: Column, begin: Column, size: Column) -> Column:
+    return F.xxhash64(length, F.lit(i), F.substring(wide, begin * 4 + 1, size * 4))
 
 
-def index_keys(line: Column, n: Column) -> Column:
-    return F.array(*[key(n, i, line, *segment(n, i)) for i in range(EDITS + 1)])
+def index_keys(wide: Column, n: Column) -> Column:
+    return F.array(*[key(n, i, wide, *segment(n, i)) for i in range(EDITS + 1)])
 
 
-def probe_keys(line: Column, n: Column) -> Column:
+def probe_keys(wide: Column, n: Column) -> Column:
     """Keys under which a line of length n can meet one that is as long or up to EDITS shorter."""
     out = []
     for less in range(EDITS + 1):
@@ -75,7 +77,7 @@ def probe_keys(line: Column, n: Column) -> Column:
         for i in range(EDITS + 1):
             begin, size = segment(length, i)
             for shift in range(max(-i, less - (EDITS - i)), min(i, less + (EDITS - i)) + 1):
-                out.append(key(length, i, line, begin + shift, size))
+                out.append(key(length, i, wide, begin + shift, size))
     return F.array(*out)
 
 
@@ -85,40 +87,46 @@ def within(a: Column, b: Column) -> Column:
     Bit d + EDITS of row e says that the first i characters of a and the first i + d of b are
     within e edits; a step takes one more character of a.
     """
-    x, y = F.split(a, ""), F.split(b, "")
     width = 2 * EDITS + 1
-    full = (1 << width) - 1
-    size = F.length(b)
+    full = F.lit((1 << width) - 1)
 
-    def step(rows, i):
-        c = F.get(x, i)
+    def step(rows, i, s):
+        c = F.get(s["x"], i)
         same = F.lit(0)
-        for bit in range(width):
+        for bit in range(width):  # beyond either end there is no character and so no match
             at = i + (bit - EDITS)
-            same = same + F.when((at >= 0) & (at < size) & (F.get(y, at) == c), 1 << bit).otherwise(0)
-        out = []
-        for e in range(EDITS + 1):
-            old = rows[f"r{e}"]
-            new = old.bitwiseAND(same)
+            same = same + F.when((at >= 0) & (F.get(s["y"], at) == c), 1 << bit).otherwise(0)
+
+        def moved(e, m, done):
+            """Rows e and on, after a step over the matches m; done: the rows before."""
+            if e > EDITS:
+                return F.struct(*[v.alias(f"r{k}") for k, v in enumerate(done)])
+            new = rows[f"r{e}"].bitwiseAND(m)
             if e:
                 below = rows[f"r{e - 1}"]  # substitution, deletion, then insertion
-                new = new.bitwiseOR(below).bitwiseOR(F.shiftright(below, 1)).bitwiseOR(F.shiftleft(out[-1], 1))
-            out.append(new.bitwiseAND(F.lit(full)))
-        return F.struct(*[v.alias(f"r{e}") for e, v in enumerate(out)])
+                new = new.bitwiseOR(below).bitwiseOR(F.shiftright(below, 1)).bitwiseOR(F.shiftleft(done[-1], 1)).bitwiseAND(full)
+            return once(new, lambda v: moved(e + 1, m, [*done, v]))
+
+        return once(same, lambda m: moved(0, m, []))
 
     first = F.struct(*[F.lit(sum(1 << (EDITS + d) for d in range(e + 1))).alias(f"r{e}") for e in range(EDITS + 1)])
-    last = F.aggregate(F.sequence(F.lit(0), F.length(a) - 1), first, step)[f"r{EDITS}"]
-    gap = F.length(b) - F.length(a)
-    wanted = F.get(F.array(*[F.lit(1 << bit) for bit in range(width)]), gap + EDITS)  # null: too unlike in length
-    return F.coalesce(last.bitwiseAND(wanted) > 0, F.lit(False))
+
+    def verdict(s):
+        gap = F.size(s["y"]) - F.size(s["x"])
+        last = F.aggregate(F.sequence(F.lit(0), F.size(s["x"]) - 1), first, lambda rows, i: step(rows, i, s))[f"r{EDITS}"]
+        wanted = F.get(F.array(*[F.lit(1 << bit) for bit in range(width)]), gap + EDITS)  # null: too unlike in length
+        return F.coalesce(last.bitwiseAND(wanted) > 0, F.lit(False))
+
+    return once(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y")), verdict)
 
 
 def near_classes(classes: DataFrame) -> DataFrame:
-    """Of classes (id, first, line), the ids that have an earlier line within the distance."""
-    n = F.length("line")
-    sized = classes.select("id", "line", n.alias("n"), signature(F.col("line")).alias("sig"))
-    index = sized.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.explode(index_keys(F.col("line"), F.col("n"))).alias("key"))
-    probe = sized.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.explode(probe_keys(F.col("line"), F.col("n"))).alias("key"))
+    """Of classes (id, first, line, n, sig), the ids that have an earlier line within the distance."""
+    # four bytes a code point: parts of a line are then found without counting from its beginning
+    wide = classes.select("id", "sig", "n", F.encode("line", "UTF-32").alias("wide"))
+    own, n = F.col("wide"), F.col("n")
+    index = wide.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), index_keys(own, n).alias("keys")).select("a", "sig_a", F.explode("keys").alias("key"))
+    probe = wide.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), probe_keys(own, n).alias("keys")).select("b", "sig_b", F.explode("keys").alias("key"))
     met = index.join(probe, (index.key == probe.key) & (F.col("a") != F.col("b")) & (apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS))
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     tidy(classes.sparkSession)
@@ -128,24 +136,40 @@ def near_classes(classes: DataFrame) -> DataFrame:
     return close.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
 
 
+def place() -> Column:
+    """Where a line is, as one number in the order of doc_id, mark (its lowest 30 bits) and line number.
+
+    A number, as a struct would turn the aggregation over lines into one that sorts them.
+    """
+    mark = F.col("mark").bitwiseAND(F.lit((1 << 30) - 1))
+    return ((F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 30).cast("decimal(10,0)") + mark) * F.lit(1 << 32).cast("decimal(10,0)") + F.col("pos")).cast("decimal(38,0)")
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, mark (a hash of the text) and gone, an array that says for each line whether it goes."""
+    """doc_id, mark (a hash of the text) and gone, the numbers (from 0) of the lines that go, ascending."""
+    spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    long = rows.filter(F.length("line") >= LEAST)
-    place = F.struct("doc_id", "mark", "pos")
-    classes = long.groupBy("line").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("repeated"))
-    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()), "lines")
-    tidy(docs.sparkSession)
+    long = rows.filter(F.length("line") >= LEAST).withColumn("place", place())
+    classes = long.groupBy("line").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    classes = materialise(classes.select("line", "first", (F.col("first") != F.col("last")).alias("repeated"), F.length("line").alias("n"), signature(F.col("line")).alias("sig"), F.monotonically_increasing_id().alias("id")), "lines")
+    tidy(spark)
     near = materialise(near_classes(classes).withColumn("near", F.lit(True)), "near")
-    tidy(docs.sparkSession)
-    told = classes.join(near, "id", "left").filter("repeated or near")
-    told = told.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "first", F.coalesce("near", F.lit(False)).alias("near"))
-    each = rows.select("doc_id", "mark", "pos", *[F.when(F.length("line") >= LEAST, h).alias(n) for n, h in (("h1", F.xxhash64("line")), ("h2", F.xxhash64(F.lit(1), "line")))])
-    each = each.distinct().join(told, ["h1", "h2"], "left")
-    gone = F.coalesce(F.col("near") | (F.col("first") != F.struct("doc_id", "mark", "pos")), F.lit(False))
-    flags = each.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("pos", gone.alias("gone")))).alias("flags"))
-    flags = flags.filter(F.exists("flags", lambda x: x["gone"]))
-    return flags.select("doc_id", "mark", F.transform("flags", lambda x: x["gone"]).alias("gone"))
+    tidy(spark)
+    hashes = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
+    told = classes.join(near, "id", "left").filter("repeated or near").select(*hashes, "first", F.coalesce("near", F.lit(False)).alias("near"))
+    gone = long.select("doc_id", "mark", "pos", "place", *hashes).join(told, ["h1", "h2"]).filter("near or place <> first")
+    return gone.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+
+
+def without(lines: Column, gone: Column) -> Column:
+    """The lines whose numbers are not in gone, as the stretches between those."""
+    begins = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g + 1))
+
+    def stretches(lines):
+        ends = F.concat(gone, F.array(F.size(lines)))
+        return F.flatten(F.zip_with(begins, ends, lambda b, e: F.slice(lines, b + 1, e - b)))
+
+    return once(lines, stretches)
 
 
 def drop_lines(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -153,10 +177,8 @@ def drop_lines(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"__{c}") for c in extra])
     gone = removed_lines(rows.select("doc_id", "text").filter("doc_id is not null"))
     rows = rows.withColumn("mark", F.xxhash64("text")).join(gone, ["doc_id", "mark"], "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.get(F.col("gone"), i)), "\n")
-    n = F.coalesce(F.size(F.filter("gone", lambda g: g)), F.lit(0))
+    lines, whole = F.split("text", "\n"), F.col("gone").isNull()
     return rows.select(
-        "doc_id", F.size(lines).cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(n).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept"), *[F.col(f"__{c}").alias(c) for c in extra],
+        "doc_id", F.size(lines).cast("long").alias("n_lines"), F.when(whole, 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
+        F.when(whole, F.col("text")).otherwise(F.array_join(without(lines, F.col("gone")), "\n")).alias("kept"), *[F.col(f"__{c}").alias(c) for c in extra],
     )
