@@ -123,11 +123,14 @@ def within(a: Column, b: Column) -> Column:
 def near_classes(classes: DataFrame) -> DataFrame:
     """Of classes (id, first, line, n, sig), the ids that have an earlier line within the distance."""
     # four bytes a code point: parts of a line are then found without counting from its beginning
-    wide = classes.select("id", "sig", "n", F.encode("line", "UTF-32").alias("wide"))
-    own, n = F.col("wide"), F.col("n")
-    index = wide.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), index_keys(own, n).alias("keys")).select("a", "sig_a", F.explode("keys").alias("key"))
-    probe = wide.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), probe_keys(own, n).alias("keys")).select("b", "sig_b", F.explode("keys").alias("key"))
-    met = index.join(probe, (index.key == probe.key) & (F.col("a") != F.col("b")) & (apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS))
+    wide, n = F.encode("line", "UTF-32"), F.col("n")
+    index = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), n.alias("n_a"), F.explode(once(wide, lambda w: index_keys(w, n))).alias("key"))
+    probe = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), n.alias("n_b"), F.explode(once(wide, lambda w: probe_keys(w, n))).alias("key"))
+    # lines of one length meet either way round: one way is enough
+    ahead = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    # a substitution moves two counts, an insertion one, and as many as the lengths differ by are insertions
+    alike = apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS - (F.col("n_b") - F.col("n_a"))
+    met = index.join(probe, (index.key == probe.key) & ahead & alike)
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     tidy(classes.sparkSession)
     one = classes.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"))
