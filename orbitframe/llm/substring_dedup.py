@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._store import materialise, release, tidy
-from ._text import U, Words, batches
+from ._text import U, Words, batches, mix
 
 #: Words of text that a shard is sized for.
 SHARD_WORDS = 3_000_000
@@ -55,32 +55,67 @@ def to_shards(ids: np.ndarray, text: np.ndarray, values: np.ndarray, shard: np.n
             yield int(shard[part[0]]), np.diff(ids[own], prepend=0).tobytes(), counts.astype(np.uint32).tobytes(), pack(values[part], width)
 
 
-def by_shard(df: DataFrame, parts: int, answer: Callable, width: int, schema: str) -> DataFrame:
-    """answer(values, ids) yields (doc_id, values) for all that one shard got."""
+def dealt(ids: np.ndarray, values: np.ndarray, parts: int) -> list[tuple]:
+    """Rows for to_shards() that deal values out by a hash of the id they belong to."""
+    order = np.argsort(ids, kind="stable")
+    own, text = np.unique(ids[order], return_inverse=True)
+    place = (mix(own.view(U)) % U(parts)).astype(np.int64)
+    return list(to_shards(own, text, values[order], place[text], 8))
 
-    def run(it):
-        import pyarrow as pa
 
+def by_shard(df: DataFrame, parts: int, answer: Callable, width: int, schema: str, turns: int = 1) -> DataFrame:
+    """answer(values, ids) for all that one shard got, as Arrow batches.
+
+    In several turns a shard's values are taken a part at a time, equal ones together: only their
+    packed form is in memory as a whole.
+    """
+
+    def run(it):
         def done(rows):
-            ids = np.concatenate([np.repeat(np.cumsum(np.frombuffer(r[0], np.int64)), np.frombuffer(r[1], np.uint32)) for r in rows])
-            values = np.concatenate([unpack(r[2], width) for r in rows])
-            rows.clear()
-            out = list(answer(values, ids))
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["doc_id", "found"])
+            for turn in range(turns):
+                ids, values = [], []
+                for own, counts, data in rows:
+                    v = unpack(data, width)
+                    i = np.repeat(np.cumsum(np.frombuffer(own, np.int64)), np.frombuffer(counts, np.uint32))
+                    if turns > 1:
+                        mine = (v >> U(1)) % U(turns) == U(turn)
+                        v, i = v[mine], i[mine]
+                    values.append(v)
+                    ids.append(i)
+                values, ids = np.concatenate(values), np.concatenate(ids)
+                if len(values):
+                    yield answer(values, ids)
 
         now, rows = None, []
         for b in it:
             for s, *row in zip(*(b.column(k).to_pylist() for k in range(4))):
                 if s != now and rows:
-                    yield done(rows)
+                    yield from done(rows)
+                    rows = []
                 now = s
                 rows.append(row)
         if rows:
-            yield done(rows)
+            yield from done(rows)
 
     return df.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
+def found_by_text(df: DataFrame, parts: int, pick: Callable, width: int) -> DataFrame:
+    """doc_id and found, a row for each document of which pick(values, ids) takes values, distinct and ascending.
+
+    The values taken go back packed, a row for each shard and place, and are put together by document there.
+    """
+
+    def give(values, ids):
+        import pyarrow as pa
+
+        out = list(given_back(ids, values))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["doc_id", "found"])
+
+    taken = by_shard(df, parts, lambda values, ids: table_of(dealt(*pick(values, ids), parts)), width, SHARDED, turns=3)
+    return by_shard(taken, parts, give, 8, FOUND)
+
+
 def groups_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts equal values together, and where each group begins in it."""
     order = np.argsort(values, kind="stable")
@@ -96,22 +131,22 @@ def given_back(ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes
             yield int(ids[a]), np.unique(values[a:b]).tobytes()
 
 
-def anchors(values: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """The values (lowest bit: the window is a block in place) that are blocks and in two texts."""
+def anchors(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and values (lowest bit: the window is a block in place) of those that are blocks and in two texts."""
     block, values = (values & U(1)).astype(bool), values >> U(1)
     order, begin = groups_of(values)
     some = np.add.reduceat(block[order].astype(np.int64), begin) > 0
     some &= np.minimum.reduceat(ids[order], begin) < np.maximum.reduceat(ids[order], begin)
     keep = order[np.repeat(some, np.diff(np.concatenate([begin, [len(order)]])))]
-    yield from given_back(ids[keep], values[keep])
+    return ids[keep], values[keep]
 
 
-def repeated(values: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """The values of each text that a smaller one has too."""
+def repeated(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and values of those that a smaller id has too."""
     order, begin = groups_of(values)
     least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.concatenate([begin, [len(order)]])))
     keep = order[ids[order] > least]
-    yield from given_back(ids[keep], values[keep])
+    return ids[keep], values[keep]
 
 
 SHARDED = "shard int, ids binary, counts binary, data binary"
@@ -142,17 +177,13 @@ def probes(docs: DataFrame, window: int, block: int, shards: int) -> DataFrame:
     return docs.select("text", "doc_id").mapInArrow(run, SHARDED)
 
 
-def all_of(parts: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(parts), U)
-
-
 def is_in(values: np.ndarray, text: np.ndarray, found: list, n: int) -> np.ndarray:
     """Whether each value is among those found for its text."""
     out = np.zeros(len(values), dtype=bool)
     cut = np.searchsorted(text, np.arange(n + 1))
     for t in range(n):
         if found[t] and cut[t + 1] > cut[t]:
-            out[cut[t] : cut[t + 1]] = np.isin(values[cut[t] : cut[t + 1]], all_of(found[t]))
+            out[cut[t] : cut[t + 1]] = np.isin(values[cut[t] : cut[t + 1]], np.frombuffer(found[t], U))
     return out
 
 
@@ -200,15 +231,14 @@ def drop_repeats(docs: DataFrame, window: int = 50, block: int = 25, with_text:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(parts, math.ceil(total / 6 / SHARD_WORDS))
     named = docs.filter("doc_id is not null")
-    found = materialise(by_shard(probes(named, window, block, shards), parts, anchors, 6, FOUND), "anchors")
+    found = materialise(found_by_text(probes(named, window, block, shards), parts, anchors, 6), "anchors")
     tidy(spark)
-    gathered = found.groupBy("doc_id").agg(F.collect_list("found").alias("found"))
-    near = candidates(named.join(gathered, "doc_id"), window, block, shards)
-    again = materialise(by_shard(near, parts, repeated, 8, FOUND), "repeats")
-    del near, gathered
+    # merge joins at every size: what would fit a broadcast depends on the corpus
+    near = candidates(named.join(found.hint("merge"), "doc_id"), window, block, shards)
+    again = materialise(found_by_text(near, parts, repeated, 8), "repeats")
+    del near
     release(found)
     tidy(spark)
-    gathered = again.groupBy("doc_id").agg(F.collect_list("found").alias("found"))
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "spans", *["kept"] * with_text]
 
     def run(it):
@@ -232,4 +262,4 @@ def drop_repeats(docs: DataFrame, window: int = 50, block: int = 25, with_text:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k] if k < 5 else pa.binary()).cast(pa.string() if k == 5 else kinds[k]) for k in range(len(names))], names)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<array<long>>" + ", kept string" * with_text
-    return docs.join(gathered, "doc_id", "left").select("text", "doc_id", "found").mapInArrow(run, schema)
+    return docs.join(again.hint("merge"), "doc_id", "left").select("text", "doc_id", "found").mapInArrow(run, schema)
