@@ -1,12 +1,19 @@
 """Lexical retrieval packing.
 
-Documents are dealt out, by a hash, to shards of about `shard_docs`, whose number grows with the
-table.  Each shard has a BM25 inverted index of its documents over token ids.  A window begins with
-a seed, the unused document of the smallest id (or what is left of the one cut last); the index
-ranks the unused documents by BM25 with the seed's terms as the query, and they fill the window
+A window begins with a seed, the unused document of the smallest id (or what is left of the one cut
+last); the unused documents, ranked by BM25 with the seed's terms as the query, fill the window
 greedily in that order.  The one that doesn't fit is cut, and its rest begins the next window, so
-windows are full.  A shard's last window is cut into windows whose sizes are powers of two, which
-need no padding.
+windows are full.  The last window is cut into windows whose sizes are powers of two, which need no
+padding.
+
+Every unused document of the corpus is ranked for every seed.  Up to `shard_docs` documents are
+packed by one task.  Beyond, the index lies in shards of that many documents, with the document
+frequencies and the mean length of the whole corpus, and windows are filled in rounds: each of many
+open windows sends its seed's terms to all shards, which give their best unused documents; the
+merged lists are taken in the order of the windows, so that each document taken is the best of all
+then unused.  A window whose list runs out before it is full asks again in the next round.  When no
+document is unused, what the open windows hold is joined.  Weights are whole multiples of 1/64, so
+that sums don't depend on their order.  The work grows with the square of the corpus.
 
 A document is its token ids and then the end id.  Defined results: a null or empty text is the end
 id alone; repeated rows are packed one by one; rows with a null id are packed like others; equal
@@ -15,13 +22,14 @@ scores go by id; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import materialise, release, tidy
 from ._text import batches
 from .tokens import encoder
 
@@ -139,54 +147,333 @@ def in_powers(window: list[tuple[int, int, int]]) -> list[list[tuple[int, int, i
     return out
 
 
+class Shard:
+    """The postings of some documents, with weights from counts of the whole corpus."""
+
+    FIELDS = "rows binary, terms binary, begin binary, doc binary, weight binary, own_terms binary, own_begin binary"
+    KINDS = (np.int64, np.int32, np.int64, np.int32, np.float32, np.int32, np.int64)
+
+    def __init__(self, *arrays):
+        self.rows, self.terms, self.begin, self.doc, self.weight, self.own_terms, self.own_begin = arrays
+
+    @classmethod
+    def of(cls, rows: np.ndarray, docs: list[np.ndarray], idf: np.ndarray, mean: float) -> Shard:
+        n, sizes = len(docs), np.array([len(d) for d in docs])
+        key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), sizes), return_counts=True)
+        term, doc = key // n, key % n
+        norm = K1 * (1 - B + B * sizes / max(1.0, mean))
+        weight = np.rint(idf[term] * tf * (K1 + 1) / (tf + norm[doc]) * STEPS)
+        some = weight > 0
+        term, doc, weight = term[some], doc[some], weight[some]
+        terms, begin = np.unique(term, return_index=True)
+        order = np.argsort(doc, kind="stable")
+        return cls(rows, terms, np.append(begin, len(term)), doc, weight, term[order], np.searchsorted(doc[order], np.arange(n + 1)))
+
+    def packed(self) -> list[bytes]:
+        arrays = (self.rows, self.terms, self.begin, self.doc, self.weight, self.own_terms, self.own_begin)
+        return [np.asarray(a, dtype=k).tobytes() for a, k in zip(arrays, self.KINDS)]
+
+    @classmethod
+    def read(cls, parts: list[bytes]) -> Shard:
+        return cls(*[np.frombuffer(p, k) for p, k in zip(parts, cls.KINDS)])
+
+    def best(self, terms: np.ndarray, begin: np.ndarray, free: np.ndarray, k: int) -> np.ndarray:
+        """For each query the keys (score, then the smaller row) of the k best documents among the places `free`."""
+        n, place = len(self.rows), np.full(int(max(terms.max(initial=0), self.terms.max(initial=0))) + 1, -1)
+        place[self.terms] = np.arange(len(self.terms))
+        df = np.diff(self.begin)
+        wide = np.flatnonzero(df * 16 >= n)
+        number = np.full(len(df) + 1, -1)
+        number[wide] = np.arange(len(wide))
+        dense = np.zeros((len(wide), n), dtype=np.float32)
+        for r, t in enumerate(wide):
+            at = slice(self.begin[t], self.begin[t + 1])
+            dense[r, self.doc[at]] = self.weight[at]
+        dense, low = dense[:, free], LAST - self.rows[free]
+        out = np.full((len(begin) - 1, k), -1, dtype=np.int64)
+        for first in range(0, len(out), 128):
+            last = min(first + 128, len(out))
+            t = place[terms[begin[first] : begin[last]]]
+            q = np.repeat(np.arange(last - first), np.diff(begin[first : last + 1]))
+            q, t = q[t >= 0], t[t >= 0]
+            broad = number[t] >= 0
+            asked = np.zeros((last - first, len(wide)), dtype=np.float32)
+            asked[q[broad], number[t[broad]]] = 1
+            score = (asked @ dense).astype(np.int64)  # whole numbers under 2 ** 24: exact
+            q, t = q[~broad], t[~broad]
+            size = df[t]
+            if size.sum():
+                total = np.cumsum(size)
+                at = np.arange(total[-1]) + np.repeat(self.begin[t] - (total - size), size)
+                more = np.bincount(np.repeat(q, size) * n + self.doc[at], weights=self.weight[at], minlength=(last - first) * n)
+                score += more.reshape(last - first, n)[:, free].astype(np.int64)
+            out[first:last, : min(k, len(free))] = top((score << BITS) + low, k)
+        return out
+
+
+#: Parts of a whole that weights are counted in; and keys of scores and rows in one number.
+STEPS, BITS = 64, 34
+LAST = (1 << BITS) - 1
+#: Documents that a shard names for a seed at first, and keys that a task may hold for a round.
+NAMED, HELD = 64, 1 << 20
+
+
+def top(keys: np.ndarray, k: int) -> np.ndarray:
+    """The k greatest of each row, in any order."""
+    return keys if keys.shape[1] <= k else np.partition(keys, keys.shape[1] - k, axis=1)[:, -k:]
+
+
+def fill(lengths: np.ndarray, size: int, chains: int, rank, emit) -> None:
+    """Give emit the pieces (document, start, length) of each window.
+
+    rank(seeds, used, k): for each seed at least k unused documents (or all), best first.  `chains`
+    windows are open at once.
+    """
+    used, next_seed, named = np.zeros(len(lengths), dtype=bool), 0, NAMED
+    opened: list[list] = [[] for _ in range(chains)]
+    rooms = [size] * chains
+
+    def place(c, d) -> bool:
+        """Put document d into window c, and on; whether the window became full."""
+        start, full, used[d] = 0, False, True
+        while start < lengths[d]:
+            n = min(rooms[c], int(lengths[d]) - start)
+            opened[c].append((d, start, n))
+            rooms[c] -= n
+            start += n
+            if rooms[c] == 0:
+                emit(opened[c])
+                opened[c], rooms[c], full = [], size, True
+        return full
+
+    while True:
+        for c in range(chains):
+            while not opened[c] and next_seed < len(lengths):
+                if not used[next_seed]:
+                    place(c, next_seed)
+                next_seed += 1
+        waiting = [c for c in range(chains) if opened[c]]
+        if not waiting or used.all():
+            break
+        starved = 0
+        for c, ranked in zip(waiting, rank([opened[c][0][0] for c in waiting], used, named)):
+            starved += not any(place(c, d) for d in ranked.tolist() if not used[d])
+        named = min(named * 2, max(NAMED, HELD // len(waiting))) if starved * 2 > len(waiting) else max(NAMED, named // 2)
+    now, room = [], size
+    for d, start, n in (p for pieces in opened for p in pieces):
+        while n:
+            take = min(room, n)
+            now.append((d, start, take))
+            start, n, room = start + take, n - take, room - take
+            if not room:
+                emit(now)
+                now, room = [], size
+    for window in in_powers(now):
+        emit(window)
+
+
+def ids_of(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if width == 2 else np.uint32)
+
+
+def ranker(index: DataFrame):
+    """The function rank of fill, over an index of shards."""
+    spark = index.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def rank(seeds, used, k):
+        wanted = spark.sparkContext.broadcast(np.sort(np.array(seeds, dtype=np.int64)))
+
+        def own(it):
+            import pyarrow as pa
+
+            for b in it:
+                for rows, terms, begin in zip(*(b.column(c).to_pylist() for c in range(3))):
+                    rows, terms, begin = np.frombuffer(rows, np.int64), np.frombuffer(terms, np.int32), np.frombuffer(begin, np.int64)
+                    at = np.flatnonzero(np.isin(rows, wanted.value))
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[at]), pa.array([terms[begin[d] : begin[d + 1]].tobytes() for d in at], pa.binary())], ["row", "terms"])
+
+        got = index.select("rows", "own_terms", "own_begin").mapInArrow(own, "row long, terms binary").toArrow()
+        own_terms = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+        terms = [np.frombuffer(own_terms[d], np.int32) for d in seeds]
+        begin = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
+        sent = spark.sparkContext.broadcast((np.concatenate(terms), begin, np.packbits(used)))
+
+        def score(it):
+            import pyarrow as pa
+
+            terms, begin, bits = sent.value
+            best = None
+            for b in it:
+                for parts in zip(*(b.column(c).to_pylist() for c in range(len(Shard.KINDS)))):
+                    shard = Shard.read(parts)
+                    free = np.flatnonzero((bits[shard.rows >> 3] >> (7 - (shard.rows & 7)).astype(np.uint8)) & 1 == 0)
+                    if len(free):
+                        keys = shard.best(terms, begin, free, k)
+                        best = keys if best is None else top(np.concatenate([best, keys], axis=1), k)
+            if best is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(best))), pa.array([x[x >= 0].tobytes() for x in best], pa.binary())], ["seed", "keys"])
+
+        def merged(it):
+            import pyarrow as pa
+
+            have: dict[int, list] = {}
+            for b in it:
+                for seed, keys in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    have.setdefault(seed, []).append(np.frombuffer(keys, np.int64))
+            best = {s: LAST - (np.sort(np.concatenate(x))[::-1][:k] & LAST) for s, x in have.items()}
+            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array([x.tobytes() for x in best.values()], pa.binary())], ["seed", "rows"])
+
+        lists = index.mapInArrow(score, "seed long, keys binary").repartition(parts, "seed").mapInArrow(merged, "seed long, rows binary").toArrow()
+        wanted.destroy()
+        sent.destroy()
+        out = dict(zip(lists.column(0).to_pylist(), lists.column(1).to_pylist()))
+        return [np.frombuffer(out[c], np.int64) for c in range(len(seeds))]
+
+    return rank
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, shard_docs: int = 4096, with_ids: bool = False) -> DataFrame:
     """A row for each piece, with the columns of PIECES; with_ids adds ids, its token ids.
 
-    tokenizer: the path of a tokenizers file, the same on all machines.
+    tokenizer: the path of a tokenizers file, the same on all machines.  shard_docs: documents in a
+    shard of the index, which changes no candidates.
     """
-    n = max(1, math.ceil(docs.count() / shard_docs))
-    rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    spark = docs.sparkSession
+    schema = PIECES + ", ids array<long>" * with_ids
+    names = [x.split()[0] for x in PIECES.split(", ")] + ["ids"] * with_ids
 
     def tokens(it):
         import pyarrow as pa
 
         own = encoder(tokenizer)
-        for part in batches(it, ["text", "doc_id", "shard"], 4 << 20):
-            ids = own.encode([r[0] for r in part])
-            cols = [pa.array([r[k] for r in part], kind) for k, kind in ((2, pa.int32()), (1, pa.int64()))]
-            data = [np.append(x, x.dtype.type(end_id)) for x in ids]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([x.tobytes() for x in data], pa.binary()), pa.array([x.itemsize for x in data], pa.int32())], ["shard", "doc_id", "data", "width"])
+        for part in batches(it, ["text", "doc_id"], 4 << 20):
+            data = [np.append(x, x.dtype.type(end_id)) for x in own.encode([r[0] for r in part])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in part], pa.int64()), pa.array([x.tobytes() for x in data], pa.binary()), pa.array([x.itemsize for x in data], pa.int32()), pa.array([len(x) for x in data], pa.int64())], ["doc_id", "data", "width", "n"])
 
-    def run(it):
+    def table(columns):
         import pyarrow as pa
 
-        def done(shard, rows):
-            docs = [np.frombuffer(r[1], np.uint16 if r[2] == 2 else np.uint32) for r in rows]
-            cols: list[list] = [[] for _ in range(8)]
+        made = [pa.array(c, pa.int64()) for c in columns[:7]] + [pa.array(columns[7], pa.list_(pa.int64()))] * with_ids
+        return pa.RecordBatch.from_arrays(made, names)
+
+    def cut(ids, start, length):
+        own = ids[start : start + length].astype("<u4")
+        return zlib.crc32(own.tobytes()), own if with_ids else None
+
+    rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).orderBy("doc_id", "text")
+    made = rows.mapInArrow(tokens, "doc_id long, data binary, width int, n long").withColumn("at", F.monotonically_increasing_id())
+    made = materialise(made, "tokens")  # at: the number of the partition, then of the row in it
+    part = F.shiftright("at", 33).cast("int")
+    counts = {r.part: r.n for r in made.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    offsets = np.concatenate([[0], np.cumsum([counts.get(p, 0) for p in range(max(counts, default=0) + 1)])])
+    total = int(offsets[-1])
+
+    if total <= shard_docs:
+
+        def whole(it):
+            rows = [r for b in it for r in zip(*(b.column(k).to_pylist() for k in range(3)))]
+            if not rows:
+                return
+            docs, cols = [ids_of(r[1], r[2]) for r in rows], [[] for _ in range(8)]
             for k, window in enumerate(pack(docs, size)):
                 offset = 0
                 for d, start, length in window:
-                    ids = docs[d][start : start + length].astype("<u4")
-                    crc = zlib.crc32(ids.tobytes())
-                    for c, v in zip(cols, (rows[d][0], start, length, crc, len(docs[d]), (shard << 32) + k, offset, ids if with_ids else None)):
+                    crc, ids = cut(docs[d], start, length)
+                    for c, v in zip(cols, (rows[d][0], start, length, crc, len(docs[d]), k, offset, ids)):
                         c.append(v)
                     offset += length
-            names = [x.split()[0] for x in PIECES.split(", ")]
-            made = [pa.array(c, pa.int64()) for c in cols[:7]] + [pa.array(cols[7], pa.list_(pa.int64()))] * with_ids
-            return pa.RecordBatch.from_arrays(made, names + ["ids"] * with_ids)
+            yield table(cols)
+
+        return made.repartition(1).sortWithinPartitions("at").select("doc_id", "data", "width").mapInArrow(whole, schema)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row = F.get(F.lit([int(x) for x in offsets]), part) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    known = made.select(row.alias("row"), "n").toArrow()
+    lengths = np.zeros(total, dtype=np.int32)
+    lengths[known.column(0).to_numpy()] = known.column(1).to_numpy()
+    del known
+
+    def term_counts(it):
+        import pyarrow as pa
+
+        df = np.zeros(0, dtype=np.int64)
+        for b in it:
+            for data, width in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = np.unique(ids_of(data, width))
+                df = np.pad(df, (0, max(0, int(own[-1]) + 1 - len(df))))
+                df[own] += 1
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(df[some], pa.int64())], ["term", "df"])
+
+    seen = made.select("data", "width").mapInArrow(term_counts, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    idf = np.zeros(int(seen.column(0).to_numpy().max()) + 1)
+    df = seen.column(1).to_numpy()
+    idf[seen.column(0).to_numpy()] = np.maximum(0, np.log((total - df + 0.5) / (df + 0.5)))  # terms of half the documents say nothing
+    sent, mean = spark.sparkContext.broadcast(idf), float(lengths.mean())
+
+    def indexed(it):
+        import pyarrow as pa
+
+        def done(rows):
+            shard = Shard.of(np.array([r[0] for r in rows]), [ids_of(r[1], r[2]) for r in rows], sent.value, mean)
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in shard.packed()], [x.split()[0] for x in Shard.FIELDS.split(", ")])
 
         now, rows = None, []
         for b in it:
-            for shard, *row in zip(*(b.column(k).to_pylist() for k in range(4))):
+            for shard, *r in zip(*(b.column(k).to_pylist() for k in range(4))):
                 if shard != now and rows:
-                    yield done(now, rows)
+                    yield done(rows)
                     rows = []
                 now = shard
-                rows.append(row)
+                rows.append(r)
         if rows:
-            yield done(now, rows)
+            yield done(rows)
+
+    dealt = made.select(F.floor(row / shard_docs).cast("int").alias("shard"), row.alias("row"), "data", "width").repartition(parts, "shard")
+    index = materialise(dealt.sortWithinPartitions("shard", "row").mapInArrow(indexed, Shard.FIELDS), "index")
+    tidy(spark)
+
+    cols = [array("q") for _ in range(5)]
+    packed, windows = [], 0
+
+    def flush():
+        import pyarrow as pa
+
+        d = np.frombuffer(cols[0], np.int64)
+        p = np.searchsorted(offsets, d, side="right") - 1
+        arrays = [(p << 33) + d - offsets[p], *[np.frombuffer(c, np.int64) for c in cols[1:]]]
+        packed.append(materialise(spark.createDataFrame(pa.table([pa.array(a) for a in arrays], ["at", "start", "length", "sequence_id", "offset"])), "pieces"))
+        cols[:] = [array("q") for _ in range(5)]
+
+    def emit(window):
+        nonlocal windows
+        offset = 0
+        for d, start, length in window:
+            for c, v in zip(cols, (d, start, length, windows, offset)):
+                c.append(v)
+            offset += length
+        windows += 1
+        if len(cols[0]) >= 1 << 21:
+            flush()
+
+    chains = int(min(1 << 15, max(1, lengths.sum(dtype=np.int64) // size // 32)))
+    fill(lengths, size, chains, ranker(index), emit)
+    flush()
+    release(index)
+    tidy(spark)
+    pieces = packed[0]
+    for more in packed[1:]:
+        pieces = pieces.unionByName(more)
+
+    def pieced(it):
+        for b in it:
+            cols = [[] for _ in range(8)]
+            for doc_id, data, width, n, start, length, sequence, offset in zip(*(b.column(k).to_pylist() for k in range(8))):
+                crc, ids = cut(ids_of(data, width), start, length)
+                for c, v in zip(cols, (doc_id, start, length, crc, n, sequence, offset, ids)):
+                    c.append(v)
+            yield table(cols)
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.mapInArrow(tokens, "shard int, doc_id long, data binary, width int").repartition(parts, "shard")
-    return dealt.sortWithinPartitions("shard", "doc_id", "data").mapInArrow(run, PIECES + ", ids array<long>" * with_ids)
+    joined = made.join(pieces.hint("merge"), "at").select("doc_id", "data", "width", "n", "start", "length", "sequence_id", "offset")
+    return joined.mapInArrow(pieced, schema)

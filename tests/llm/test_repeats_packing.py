@@ -105,3 +105,47 @@ def test_windows_gather_what_is_alike():
     windows = P.pack(docs, 41 * 4)
     alike = [len({int(docs[d][0]) // 1000 for d, _, _ in w}) for w in windows]
     assert np.mean(alike) < 2.0
+
+
+def neighbours(spark, texts, shard_docs, size):
+    """For each window, the documents in it."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = P.pack_documents(df, TOKENIZER, size=size, shard_docs=shard_docs).collect()
+    check_pieces(rows, dict(enumerate(texts)), size)
+    windows = {}
+    for r in rows:
+        windows.setdefault(r.sequence_id, set()).add(r.doc_id)
+    return windows.values()
+
+
+def test_copies_meet_across_shards(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(600)]
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(60)]
+    windows = neighbours(spark, texts + texts, 20, 256)
+    together = sum(any({i, i + 60} <= w for w in windows) for i in range(60))
+    assert together >= 50
+
+
+def test_rounds_take_the_best_of_all_unused():
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 300, rng.integers(3, 40)).astype(np.uint16) for _ in range(200)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=300)
+    idf = np.maximum(0, np.log((200 - df + 0.5) / (df + 0.5)))
+    mean = np.mean([len(d) for d in docs])
+    shards = [P.Shard.read(P.Shard.of(np.arange(a, a + 25), docs[a : a + 25], idf, mean).packed()) for a in range(0, 200, 25)]
+
+    def plain(seed, d):
+        norm = P.K1 * (1 - P.B + P.B * len(docs[d]) / mean)
+        tf = np.bincount(docs[d], minlength=300)
+        own = np.rint(idf * tf * (P.K1 + 1) / (tf + norm) * P.STEPS)
+        return own[[t for t in np.unique(docs[seed]) if np.rint(idf[t] * (P.K1 + 1) * P.STEPS) > 0]].sum()
+
+    free = np.arange(200) % 3 > 0
+    seeds = [4, 99, 150]
+    terms = [np.unique(docs[s]).astype(np.int32) for s in seeds]
+    begin = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
+    keys = np.concatenate([s.best(np.concatenate(terms), begin, np.flatnonzero(free[s.rows]), 7) for s in shards], axis=1)
+    for s, own in zip(seeds, keys):
+        got = (P.LAST - (np.sort(own)[::-1][:7] & P.LAST)).tolist()
+        assert got == sorted(np.flatnonzero(free).tolist(), key=lambda d: (-plain(s, d), d))[:7]
