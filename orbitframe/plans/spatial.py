@@ -119,7 +119,7 @@ def simplify_first_fit(t):
 @query()
 def batch_geometries(t):
     """Cells' texts in order, in batches of at most 400 characters; a user's areas, so a short list."""
-    some = cells(t).filter("row < 2 and col < 8").orderBy("row", "col")
-    wkts = [r[0] for r in some.select(G.box_wkt(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")])).collect()]
+    each = cells(t).orderBy("row", "col")
+    wkts = [r[0] for r in each.select(G.box_wkt(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")])).collect()]
     made = [(i, len(b), SP.joint(b)) for i, b in enumerate(SP.batches_by_length(wkts, 400))]
     return t.spark.createDataFrame(made, "batch int, n int, wkt string")

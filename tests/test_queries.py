@@ -31,3 +31,12 @@ def test_a_season_becomes_pushed_ranges(spark):
 def test_a_coverage_join_is_no_nested_loop(spark):
     plan = catalogue.QUERIES["footprint_coverage"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_every_tile_has_a_masked_band(spark):
+    tiles = spark.read.parquet(str(DATA / "embeddings.parquet"))
+    assert catalogue.QUERIES["masked_band_all"](spark, str(DATA)).count() == 64 * tiles.count()
+
+
+def test_every_cell_is_in_a_batch(spark):
+    assert sum(r.n for r in catalogue.QUERIES["batch_geometries"](spark, str(DATA)).collect()) == 42 * 44
