@@ -106,6 +106,15 @@ def storage_text(t):
     return s.select("l_orderkey", T.storage_text(F.col("l_orderkey") % 20, F.lit(40), F.col("footprint"), F.col("additional"), F.lit(5000)).alias("text"))
 
 
+@query(f"""WITH s AS (SELECT l_orderkey, footprint AS f, additional AS a FROM ({BY_SCENE}))
+SELECT l_orderkey, CASE WHEN a > 5000 THEN '⚠ ' ELSE '' END || CASE WHEN l_orderkey % 20 < 10 THEN 'early sample ' || l_orderkey % 20 || '/10' ELSE 'estimate' END || ': dataset ~'
+|| CASE WHEN f < 1024 THEN printf('%d B', f) WHEN f < 1048576 THEN printf('%.1f KiB', f / 1024.0) WHEN f < 1073741824 THEN printf('%.1f MiB', f / 1048576.0) ELSE printf('%.1f GiB', f / 1073741824.0) END
+|| ' total, ~' || CASE WHEN a < 1024 THEN printf('%d B', a) WHEN a < 1048576 THEN printf('%.1f KiB', a / 1024.0) WHEN a < 1073741824 THEN printf('%.1f MiB', a / 1048576.0) ELSE printf('%.1f GiB', a / 1073741824.0) END
+|| ' additional; 4.9 KiB free at start' AS text FROM s""")
+def storage_text_all(t):
+    return scenes(t).select("l_orderkey", T.storage_text(F.col("l_orderkey") % 20, F.lit(40), F.col("footprint"), F.col("additional"), F.lit(5000)).alias("text"))
+
+
 @query("""SELECT 'http://x/' || o_orderkey AS url, o_orderkey || '.zip' AS filename, o_custkey AS expected_size, o_custkey AS local_actual_size, o_orderkey * 1000 AS local_mtime_ns, 1 AS fingerprint_version,
 'complete' AS status, 'downloaded' AS last_action, '2024-01-01T00:00:00' AS checked_at, md5(o_orderpriority) AS md5sum, NULL AS error FROM orders""")
 def state_row(t):

@@ -40,3 +40,9 @@ def test_every_tile_has_a_masked_band(spark):
 
 def test_every_cell_is_in_a_batch(spark):
     assert sum(r.n for r in catalogue.QUERIES["batch_geometries"](spark, str(DATA)).collect()) == 42 * 44
+
+
+def test_every_scene_has_a_storage_text(spark):
+    rows = catalogue.QUERIES["storage_text_all"](spark, str(DATA))
+    assert rows.count() == catalogue.QUERIES["storage_by_scene"](spark, str(DATA)).count()
+    assert rows.filter("text like '%~0 B additional%'").count() > 0
