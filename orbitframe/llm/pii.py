@@ -41,7 +41,7 @@ MORE = {
     "local_phone": r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "spelled_email": r"(?<![A-Za-z0-9])[A-Za-z0-9_.]{1,64}\x20?(?:\[at\]|\(at\)|\{at\}|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\[dot\]|\(dot\)|\{dot\}|\x20dot\x20|\.)\x20?[A-Za-z0-9-]{1,63}){1,3}",
-    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_/+-]{16,256}(?![A-Za-z0-9_])",
+    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_/+-]{16,}+",
 }
 #: Characters without which a kind has no match.
 NEEDS = {"email": "@", "phone": "+", "spelled_email": "at"}

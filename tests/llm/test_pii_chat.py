@@ -61,6 +61,18 @@ def test_further_spans_and_redaction(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_long_secrets(spark):
+    rng = np.random.default_rng(2)
+    chars = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    sizes = (200, 256, 257, 300, 600, 5000, 100_000)
+    texts = ["the key is token=" + "".join(rng.choice(chars, n)) + " and more" for n in sizes]
+    plain = ["before " + x + " after" for x in ("-" * 400, "_" * 3000, "7" * 300, "the-end-of-the-line-" * 40)]
+    df = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in P.redact(df).collect()}
+    assert [got[i] for i in range(len(texts))] == ["the key is token=<secret> and more"] * len(texts)
+    assert [got[len(texts) + i] for i in range(len(plain))] == plain
+
+
 def test_trees_and_their_expression_agree(spark):
     rng = np.random.default_rng(1)
     x = rng.random((800, 3))
