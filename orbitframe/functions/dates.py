@@ -38,6 +38,14 @@ def in_windows(ts: Column, years: list[int], start: tuple[int, int], end: tuple[
     return out
 
 
+def window_id(ts: Column, years: list[int], start: tuple[int, int], end: tuple[int, int]) -> Column:
+    """The number, from 0, of the year's season that ts lies in, null if it is in none."""
+    out = F.lit(None).cast("int")
+    for k, (a, b) in reversed(list(enumerate(season_windows(years, start, end)))):
+        out = F.when(ts.between(F.lit(a).cast("timestamp_ntz"), F.lit(b).cast("timestamp_ntz")), k).otherwise(out)
+    return out
+
+
 def clamp(year: int, month: int, day: int) -> dt.date:
     """clamped_date() for the driver."""
     while True:
@@ -87,7 +95,7 @@ def parse_years(text: str) -> list[int]:
     return years
 
 
-#: How a day of the year can be written, tried in this order.
+# How a day of the year can be written, tried in this order.
 MONTH_DAY_FORMATS = ("%m-%d", "%m/%d", "%m %d", "%b-%d", "%b %d", "%B-%d", "%B %d")
 
 

@@ -1,19 +1,23 @@
 """Polygons as nested arrays (polygons, rings, points with x and y), and WKT and GeoJSON texts.
 
-Parsing, writing, bounds and hole removal are column expressions.  Hulls, simplification and exact
-predicates have no built-in form; they run in Arrow batches on the rows that bounds leave over.
+Parsing, writing, bounds, hole removal and tests against a user's area are column expressions.
+Hulls, simplification, unions and repairs have no built-in form; they run in Arrow batches.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
+from orbitframe.functions import overlay
+
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 _COORDINATES = "array<array<array<array<double>>>>"
 
@@ -216,15 +220,15 @@ def _edges(polygon):
 
 def meet(one: str, two: str) -> bool:
     """Whether two polygon texts share a point."""
-    for p in rings_of(one):
-        for q in rings_of(two):
+    for p in _parsed(one):
+        for q in _parsed(two):
             if inside(p[0][0], q) >= 0 or inside(q[0][0], p) >= 0 or any(_cross(*e, *f) for e in _edges(p) for f in _edges(q)):
                 return True
     return False
 
 
 def lies_in(one: str, two: str) -> bool:
-    """Whether polygon one lies in one of the polygons of two.  (Parts of two that abut are not joined.)"""
+    """Whether polygon one lies in one of the polygons of two, whose parts that abut must have been joined."""
 
     def covered(p, q):
         middles = [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for a, b in _edges(p)]
@@ -232,12 +236,12 @@ def lies_in(one: str, two: str) -> bool:
             return False
         return all(inside(v, p) <= 0 for hole in q[1:] for v in hole)
 
-    return all(any(covered(p, q) for q in rings_of(two)) for p in rings_of(one))
+    return all(any(covered(p, q) for q in _parsed(two)) for p in _parsed(one))
 
 
-@F.pandas_udf(BooleanType())
-def polygons_meet(one: pd.Series, two: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or b is None else meet(a, b) for a, b in zip(one, two)], dtype="object")
+@lru_cache(maxsize=256)
+def _parsed(wkt: str):
+    return rings_of(wkt)
 
 
 @F.pandas_udf(BooleanType())
@@ -250,17 +254,148 @@ def convex_hull(wkt: pd.Series) -> pd.Series:
     return pd.Series([None if w is None else ring_text([[hull([p for poly in rings_of(w) for r in poly for p in r])]]) for w in wkt], dtype="object")
 
 
-#: Tolerances in degrees, tried in this order.
+@F.pandas_udf(StringType())
+def repaired(wkt: pd.Series) -> pd.Series:
+    """Valid polygons of what a text's polygons show, null if that has no area."""
+    return pd.Series([None if w is None else union([w]) for w in wkt], dtype="object")
+
+
+def union(wkts: list[str]) -> str | None:
+    """Polygon texts joined to valid polygons that don't overlap; null if they have no area."""
+    found = overlay.outline([p for w in wkts for p in rings_of(w)])
+    return ring_text(found) if found else None
+
+
+def dissolve(df: DataFrame, keys: list[str], wkt: str, salts: int = 32) -> DataFrame:
+    """keys and the union of each key's polygons; a key's rows are joined in `salts` parts first."""
+    import pyarrow as pa
+
+    kinds = {f.name: f for f in df.schema.fields}
+    schema = ", ".join(f"`{k}` {kinds[k].dataType.simpleString()}" for k in keys)
+
+    def join(table: pa.Table) -> pa.Table:
+        found = union([w for w in table.column("__wkt").to_pylist() if w is not None])
+        return table.slice(0, 1).select(keys).append_column("__wkt", pa.array([found], pa.string()))
+
+    rows = df.select(*keys, F.pmod(F.xxhash64(wkt), F.lit(salts)).alias("__salt"), F.col(wkt).alias("__wkt"))
+    some = rows.groupBy(*keys, "__salt").applyInArrow(join, f"{schema}, __wkt string")
+    return some.groupBy(*keys).applyInArrow(join, f"{schema}, __wkt string").withColumnRenamed("__wkt", wkt)
+
+
+# --- exact tests as expressions -------------------------------------------------------------------
+
+EDGE = "array<struct<ax:double,ay:double,bx:double,by:double>>"
+
+
+class Area:
+    """A user's area, one text or more joined to one: its edges and a corner of each part as constants."""
+
+    def __init__(self, wkts: list[str]):
+        self.polygons = overlay.outline([p for w in wkts for p in rings_of(w)])
+        if not self.polygons:
+            raise ValueError("the area is empty")
+        edges = [dict(zip(("ax", "ay", "bx", "by"), (*a, *b))) for p in self.polygons for a, b in _edges(p)]
+        self.edges = F.from_json(F.lit(json.dumps(edges)), EDGE)
+        self.corners = F.from_json(F.lit(json.dumps([{"x": p[0][0][0], "y": p[0][0][1]} for p in self.polygons])), "array<struct<x:double,y:double>>")
+        xs, ys = ([c[k] for p in self.polygons for c in p[0]] for k in (0, 1))
+        self.bounds = (min(xs), min(ys), max(xs), max(ys))
+
+    def near(self, box: dict[str, Column]) -> Column:
+        return boxes_meet(box, dict(zip(("minx", "miny", "maxx", "maxy"), map(F.lit, self.bounds))))
+
+
+def edges_of(polygons: Column) -> Column:
+    """All edges of polygons, as structs of ax, ay, bx and by."""
+    pair = lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"))
+    ring = lambda r: F.zip_with(F.slice(r, F.lit(1), F.size(r) - 1), F.slice(r, F.lit(2), F.size(r) - 1), pair)
+    return F.flatten(F.transform(polygons, lambda p: F.flatten(F.transform(p, ring))))
+
+
+def box_edges(box: dict[str, Column]) -> Column:
+    a, b, c, d = (box[k] for k in ("minx", "miny", "maxx", "maxy"))
+    sides = ((a, b, c, b), (c, b, c, d), (c, d, a, d), (a, d, a, b))
+    return F.array(*[F.struct(*[v.alias(n) for v, n in zip(s, ("ax", "ay", "bx", "by"))]) for s in sides])
+
+
+def point_in(x: Column, y: Column, edges: Column) -> Column:
+    """Whether a point lies within rings, by the even-odd rule; a point on an edge may count or not."""
+    crossed = lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < (e["bx"] - e["ax"]) * (y - e["ay"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0)) + e["ax"])
+    return F.size(F.filter(edges, lambda e: F.coalesce(crossed(e), F.lit(False)))) % 2 == 1
+
+
+def _turn(e: Column, x: Column, y: Column) -> Column:
+    return (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+
+
+def edges_meet(e: Column, f: Column) -> Column:
+    """Whether two edges share a point, ends included."""
+    apart = F.lit(False)
+    for k in ("x", "y"):
+        apart = apart | (F.greatest(e["a" + k], e["b" + k]) < F.least(f["a" + k], f["b" + k])) | (F.greatest(f["a" + k], f["b" + k]) < F.least(e["a" + k], e["b" + k]))
+    across = lambda p, q: F.signum(_turn(p, q["ax"], q["ay"])) * F.signum(_turn(p, q["bx"], q["by"])) <= 0
+    return ~apart & across(e, f) & across(f, e)
+
+
+def meets_area(edges: Column, corners: Column, area: Area) -> Column:
+    """Whether polygons, given by their edges and a corner of each part, share a point with the area."""
+    touching = F.exists(edges, lambda e: F.exists(area.edges, lambda f: edges_meet(e, f)))
+    return touching | F.exists(corners, lambda c: point_in(c["x"], c["y"], area.edges)) | F.exists(area.corners, lambda c: point_in(c["x"], c["y"], edges))
+
+
+def polygons_meet_area(polygons: Column, area: Area) -> Column:
+    b = bounds(polygons)
+    near = area.near({k: b[k] for k in ("minx", "miny", "maxx", "maxy")})
+    corners = F.transform(polygons, lambda p: F.get(F.get(p, F.lit(0)), F.lit(0)))
+    return F.coalesce(F.when(near, meets_area(edges_of(polygons), corners, area)), F.lit(False))
+
+
+def box_meets_area(box: dict[str, Column], area: Area) -> Column:
+    corner = F.array(F.struct(box["minx"].alias("x"), box["miny"].alias("y")))
+    return F.coalesce(F.when(area.near(box), meets_area(box_edges(box), corner, area)), F.lit(False))
+
+
+def box_in_area(box: dict[str, Column], area: Area) -> Column:
+    """Whether a box lies in the area, edges included: its inside meets no edge, and its middle lies in the area."""
+    a, b, c, d = (box[k] for k in ("minx", "miny", "maxx", "maxy"))
+
+    def enters(e):
+        over = (F.least(e["ax"], e["bx"]) < c) & (F.greatest(e["ax"], e["bx"]) > a) & (F.least(e["ay"], e["by"]) < d) & (F.greatest(e["ay"], e["by"]) > b)
+        turns = [_turn(e, x, y) for x in (a, c) for y in (b, d)]
+        return over & (F.least(*turns) < 0) & (F.greatest(*turns) > 0)
+
+    held = ~F.exists(area.edges, enters) & point_in((a + c) / 2, (b + d) / 2, area.edges)
+    return F.coalesce(F.when(area.near(box), held), F.lit(False))
+
+
+def box_meets_polygons(box: dict[str, Column], edges: Column, corners: Column) -> Column:
+    """Whether a box shares a point with polygons that are columns too."""
+    own = box_edges(box)
+    touching = F.exists(edges, lambda e: F.exists(own, lambda f: edges_meet(e, f)))
+    inside = F.exists(corners, lambda c: (c["x"] >= box["minx"]) & (c["x"] <= box["maxx"]) & (c["y"] >= box["miny"]) & (c["y"] <= box["maxy"]))
+    return touching | inside | point_in(box["minx"], box["miny"], edges)
+
+
+# Tolerances in degrees, in the order in which they are tried.
 TOLERANCES = (0.001, 0.0025, 0.005, 0.01, 0.02, 0.05)
 
 
+def simpler(polygon, tolerance: float):
+    """A polygon thinned by the tolerance, or by halves of it until no edges cross; in the end itself."""
+    for _ in range(6):
+        out = [thinned(r, tolerance) for r in polygon]
+        if out == polygon or overlay.valid(out):
+            return out
+        tolerance /= 2
+    return polygon
+
+
 def fitting(wkt: str, most: int, tolerances: tuple[float, ...] = TOLERANCES) -> str:
     """The text itself if short enough, else its first fitting simplification, its hull, or its box."""
     if len(wkt) <= most:
         return wkt
     polygons = rings_of(wkt)
     for t in tolerances:
-        text = ring_text([[thinned(r, t) for r in p] for p in polygons])
+        text = ring_text([simpler(p, t) for p in polygons])
         if len(text) <= most:
             return text
     points = [c for p in polygons for r in p for c in r]

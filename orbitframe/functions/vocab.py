@@ -19,6 +19,11 @@ PRODUCTS = {OPTICAL: ["S2MSI1C", "S2MSI2A"], RADAR: ["GRD"]}
 SERIAL_IDS = {OPTICAL: ["A", "B", "C"], RADAR: ["A", "B", "C"]}
 SENSOR_MODES = {OPTICAL: ["INS-NOBS", "INS-RAW", "INS-VIC"], RADAR: ["SM", "IW", "EW", "WV"]}
 ORBIT_DIRECTIONS = ["ASCENDING", "DESCENDING"]
+BEAM_MODES = ["IW", "EW", "WV", "S1", "S2", "S3", "S4", "S5", "S6"]
+POLARIZATIONS = ["VV+VH", "HH+HV", "VV", "HH", "DUAL VV", "DUAL VH", "DUAL HH", "DUAL HV"]
+DATA_LEVELS = ["GRD_HD", "GRD_HS", "GRD_MD", "GRD_MS", "GRD_FD", "SLC", "RAW", "OCN"]
+LEVELS = [*DATA_LEVELS, "METADATA_GRD_HD", "METADATA_GRD_HS", "METADATA_GRD_MD", "METADATA_GRD_MS", "METADATA_SLC", "METADATA_RAW", "METADATA_OCN"]
+IMAGE_BANDS = ["B01", "B02", "B03", "B04", "B05", "B06", "B07", "B08", "B8A", "B09", "B10", "B11", "B12", "SCL", "TCI", "AOT", "WVP"]
 
 
 def checked(value: str, allowed: list[str], what: str) -> str:

@@ -12,12 +12,31 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], most: int = 1) -
     return df.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= most).drop("__n")
 
 
+def _extreme(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
+    """One row of each key by an aggregation, so that a key of many rows shrinks before the shuffle.
+
+    Rows compare by `order` and then by the other columns, nulls lowest, as far as these have an order.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    loose = [c for c in rest if "map<" in kinds[c] or "variant" in kinds[c]]
+    by = F.struct(*[F.col(c) for c in [*order, *rest] if c not in loose and c not in keys])
+    if loose:
+        best = (F.min_by if pick is F.min else F.max_by)(F.struct(*[c for c in df.columns if c not in keys]), by)
+    else:
+        best = pick(by)
+    out = df.groupBy(*keys).agg(best.alias("__best"))
+    return out.select(*[c if c in keys else F.col("__best")[c].alias(c) for c in df.columns])
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return ranked(df, keys, [F.asc_nulls_first(c) for c in order])
+    """The row of each key that comes first by order, nulls first."""
+    return _extreme(df, keys, order, F.min)
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return ranked(df, keys, [F.desc_nulls_last(c) for c in order])
+    """The row of each key that comes last by order, nulls first."""
+    return _extreme(df, keys, order, F.max)
 
 
 def union_by_name(first: DataFrame, *more: DataFrame) -> DataFrame:
@@ -67,6 +86,25 @@ def fully_present(owners: DataFrame, required: DataFrame, found: DataFrame, owne
     return joined.select(owner, F.coalesce("n_found", F.lit(0)).alias("n_found"), (F.coalesce("n_found", F.lit(0)) >= F.col("n_required")).alias("complete"))
 
 
+def complete_by(found: DataFrame, owner: str, item: str, required: list) -> DataFrame:
+    """For each owner in found, how many of the required items it has, and whether all: one aggregation."""
+    n = F.count_distinct(F.when(F.col(item).isin(*required), F.col(item)))
+    return found.groupBy(owner).agg(n.alias("n_found")).withColumn("complete", F.col("n_found") >= len(set(required)))
+
+
+def filled(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
+    """left with nulls in columns filled from the last row of the same key on the right."""
+    own = last_per_key(right.select(*dict.fromkeys([*keys, *order, *columns])), keys, order)
+    own = own.select(*keys, *[F.col(c).alias("__" + c) for c in columns])
+    joined = left.join(own, keys, "left")
+    return joined.select(*[F.coalesce(c, "__" + c).alias(c) if c in columns else c for c in left.columns])
+
+
+def find_one(catalogue: DataFrame, name: str, value: str, columns: list[str]) -> DataFrame:
+    """One row at most with the columns of the product that has this name."""
+    return catalogue.filter(F.col(name) == value).select(*columns).limit(1)
+
+
 def preferred(left: DataFrame, right: DataFrame, keys: list[str], value: str, rank: Column) -> DataFrame:
     """For each key the value of the lowest rank on the right, ties to the smallest value."""
     best = right.groupBy(*keys).agg(F.min(F.struct(rank.alias("rank"), F.col(value).alias("value")))["value"].alias(value))

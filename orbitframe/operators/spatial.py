@@ -29,48 +29,70 @@ def grid(spark: SparkSession, box: tuple[float, float, float, float], dx: float,
 
 
 def clipped(cells: DataFrame, areas: list[str], mode: str = "intersect") -> DataFrame:
-    """The cells that meet (intersect) or lie in (within) polygons given as WKT, or all.
+    """The cells that meet (intersect) or lie in (within) the union of polygons given as WKT, or all.
 
-    areas: the user's own area of interest, polygons handed over by the driver.  Bounds decide first;
-    the exact test sees only the cells they leave.
+    areas: the user's own area of interest, polygons handed over by the driver.  They are parsed and
+    joined once; the tests are expressions, and only cells within the area's bounds get that far.
     """
     if mode == "all":
         return cells
     if mode not in ("intersect", "within"):
         raise ValueError(f"invalid clip mode: {mode}")
-    keep = F.lit(False)
-    own = {c: F.col(c) for c in ("minx", "miny", "maxx", "maxy")}
-    wkt = G.box_wkt(*own.values())
-    for area in areas:
-        points = [p for poly in G.rings_of(area) for r in poly for p in r]
-        xs, ys = [p[0] for p in points], [p[1] for p in points]
-        bound = {"minx": F.lit(min(xs)), "miny": F.lit(min(ys)), "maxx": F.lit(max(xs)), "maxy": F.lit(max(ys))}
-        near = G.boxes_meet(own, bound)
-        test = G.polygons_meet if mode == "intersect" else G.polygon_within
-        exact = test(F.when(near, wkt), F.lit(area))
-        keep = keep | (near & F.coalesce(exact, F.lit(False)))
-    return cells.filter(keep)
-
-
-def box_cells(boxes: DataFrame, cells: DataFrame, origin: tuple[float, float], dx: float, dy: float) -> DataFrame:
-    """Pairs of boxes and the grid cells that they meet, edges included.
+    area, box = G.Area(areas), {c: F.col(c) for c in ("minx", "miny", "maxx", "maxy")}
+    return cells.filter(G.box_meets_area(box, area) if mode == "intersect" else G.box_in_area(box, area))
+
+
+def area_grid(spark: SparkSession, areas: list[str], dx: float, dy: float | None = None, fill_holes: bool = True, mode: str = "all") -> DataFrame:
+    """A grid over the joined and repaired areas, without their holes if wished, cut to them by `mode`."""
+    dy = dx if dy is None else dy
+    if not all(0.0001 <= d <= 180 for d in (dx, dy)):
+        raise ValueError("a cell's size goes from 0.0001 to 180 degrees")
+    polygons = G.Area(areas).polygons
+    if fill_holes:
+        polygons = [p[:1] for p in polygons]
+    text = G.ring_text(polygons)
+    xs, ys = ([c[k] for p in polygons for c in p[0]] for k in (0, 1))
+    return clipped(grid(spark, (min(xs), min(ys), max(xs), max(ys)), dx, dy), [text], mode)
+
+
+def cell_names(boxes: DataFrame, origin: tuple[float, float], dx: float, dy: float, size: tuple[int, int] | None = None) -> DataFrame:
+    """boxes with __row and __col of each cell around them, one more on each side for rounding.
 
-    A box names the cells around it, one more on each side for rounding; an equi-join and an exact
-    test follow, so no pair is compared that isn't near.
+    size: the grid's rows and columns, beyond which there are no cells; rows come first and columns
+    after, so a box over the whole grid never makes more than one list of its rows and one of columns.
     """
 
-    def span(low: Column, high: Column, start: float, d: float) -> Column:
-        return F.explode(F.sequence((F.floor((low - start) / d) - 1).cast("int"), (F.floor((high - start) / d) + 1).cast("int")))
+    def span(low: Column, high: Column, start: float, d: float, n: int | None) -> Column:
+        a, b = F.floor((low - start) / d) - 1, F.floor((high - start) / d) + 1
+        if n is not None:
+            a, b = F.greatest(a, F.lit(0)), F.least(b, F.lit(n - 1))
+        return F.explode(F.when(a <= b, F.sequence(a.cast("int"), b.cast("int"))))
 
-    named = boxes.withColumn("__row", span(F.col("b_miny"), F.col("b_maxy"), origin[1], dy)).withColumn("__col", span(F.col("b_minx"), F.col("b_maxx"), origin[0], dx))
+    rows, cols = size or (None, None)
+    named = boxes.withColumn("__row", span(F.col("b_miny"), F.col("b_maxy"), origin[1], dy, rows))
+    return named.withColumn("__col", span(F.col("b_minx"), F.col("b_maxx"), origin[0], dx, cols))
+
+
+def box_cells(boxes: DataFrame, cells: DataFrame, origin: tuple[float, float], dx: float, dy: float, size: tuple[int, int] | None = None, polygons: str | None = None) -> DataFrame:
+    """Pairs of boxes and the grid cells that they meet, edges included.
+
+    A box names the cells around it; an equi-join and an exact test follow, so no pair is compared
+    that isn't near.  polygons: a column with the polygons that the boxes are the bounds of, which
+    then decide.
+    """
+    named = cell_names(boxes, origin, dx, dy, size)
     a = {c: F.col("b_" + c) for c in ("minx", "miny", "maxx", "maxy")}
     b = {c: F.col(c) for c in ("minx", "miny", "maxx", "maxy")}
-    return named.join(cells, (F.col("__row") == F.col("row")) & (F.col("__col") == F.col("col")) & G.boxes_meet(a, b)).drop("__row", "__col")
+    met = named.join(cells, (F.col("__row") == F.col("row")) & (F.col("__col") == F.col("col")) & G.boxes_meet(a, b)).drop("__row", "__col")
+    if polygons:
+        corners = F.transform(polygons, lambda p: F.get(F.get(p, F.lit(0)), F.lit(0)))
+        met = met.filter(G.box_meets_polygons(b, G.edges_of(F.col(polygons)), corners))
+    return met
 
 
-def coverage(boxes: DataFrame, cells: DataFrame, origin: tuple[float, float], dx: float, dy: float) -> DataFrame:
-    """The cells, each with the number n of boxes that meet it."""
-    n = box_cells(boxes, cells, origin, dx, dy).groupBy("row", "col").agg(F.count("*").alias("n"))
+def coverage(boxes: DataFrame, cells: DataFrame, origin: tuple[float, float], dx: float, dy: float, size: tuple[int, int] | None = None, polygons: str | None = None) -> DataFrame:
+    """The cells, each with the number n of boxes (or of their polygons) that meet it."""
+    n = box_cells(boxes, cells, origin, dx, dy, size, polygons).groupBy("row", "col").agg(F.count("*").alias("n"))
     return cells.join(n, ["row", "col"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -79,19 +101,20 @@ def uncovered_share(covered: DataFrame) -> DataFrame:
 
 
 def batches_by_length(wkts: list[str], most: int) -> list[list[str]]:
-    """Texts in order, in batches whose joint text stays within `most` characters; a longer one is alone."""
-    out, now = [], []
+    """Texts in order, in batches whose union's text stays within `most` characters; a longer one is alone."""
+    out, now, joined = [], [], None
     for w in wkts:
-        if now and len(joint([*now, w])) > most:
+        both = G.union([joined, w] if now else [w])
+        if now and len(both or "") > most:
             out.append(now)
-            now = []
-        now.append(w)
-        if len(joint(now)) > most:
+            now, both = [], G.union([w])
+        now, joined = [*now, w], both
+        if len(joined or "") > most:
             out.append(now)
             now = []
     return out + [now] * bool(now)
 
 
-def joint(wkts: list[str]) -> str:
-    """Polygons as one text; ones that overlap stay apart."""
-    return G.ring_text([p for w in dict.fromkeys(wkts) for p in G.rings_of(w)])
+def joint(wkts: list[str]) -> str | None:
+    """Polygons as one text of their union."""
+    return G.union(wkts)

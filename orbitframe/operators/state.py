@@ -78,11 +78,28 @@ def storage_projection(scenes: DataFrame, of: Column) -> DataFrame:
     return one.select("resolved", projected(F.col("f"), F.col("resolved"), of).alias("footprint"), projected(F.col("a"), F.col("resolved"), of).alias("additional"))
 
 
-def running_projection(scenes: DataFrame, group: str, order: list[str], of: Column) -> DataFrame:
-    """The projection after each scene, within a group, in the order given."""
-    w = Window.partitionBy(group).orderBy(*order)
-    rows = scenes.withColumns({"resolved": F.row_number().over(w).cast("long"), "f": F.sum("footprint").over(w.rowsBetween(Window.unboundedPreceding, 0)), "a": F.sum("additional").over(w.rowsBetween(Window.unboundedPreceding, 0))})
-    return rows.withColumns({"projected_footprint": projected(F.col("f"), F.col("resolved"), of), "projected_additional": projected(F.col("a"), F.col("resolved"), of)}).drop("f", "a")
+def running_projection(scenes: DataFrame, group: str, order: list[str], of: Column, blocks: int = 64) -> DataFrame:
+    """The projection after each scene, within a group, in the order given.
+
+    The sums run in two steps, so that one group can be of any size: the first order column, a number
+    or a time, is cut at quantiles; blocks' totals are summed up over the few blocks of a group, and
+    rows within their block.
+    """
+    cuts = scenes.agg(F.percentile_approx(F.col(order[0]), [k / blocks for k in range(1, blocks)], 10_000)).first()[0] or []
+    later = F.lit(0)
+    for c in sorted(set(cuts)):
+        later = later + (F.col(order[0]) > F.lit(c)).cast("int")
+    rows = scenes.withColumn("__block", F.coalesce(later, F.lit(-1)))
+    kinds = {"resolved": F.lit(1).cast("long"), "f": F.col("footprint"), "a": F.col("additional")}
+    totals = rows.groupBy(group, "__block").agg(*[F.sum(c).alias("__" + k) for k, c in kinds.items()])
+    earlier = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(group, "__block", *[F.coalesce(F.sum("__" + k).over(earlier), F.lit(0)).alias("__" + k) for k in kinds])
+    w = Window.partitionBy(group, "__block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({k: F.sum(c).over(w) for k, c in kinds.items()})
+    joined = rows.withColumn("__g", F.col(group)).drop(group).join(totals, [F.col("__g").eqNullSafe(F.col(group)), rows["__block"] == totals["__block"]]).drop("__g", "__block")
+    joined = joined.withColumns({k: F.col(k) + F.col("__" + k) for k in kinds})
+    out = joined.withColumns({"projected_footprint": projected(F.col("f"), F.col("resolved"), of), "projected_additional": projected(F.col("a"), F.col("resolved"), of)})
+    return out.select(*scenes.columns, "resolved", "projected_footprint", "projected_additional")
 
 
 def state_row(products: DataFrame, checked_at: Column) -> DataFrame:

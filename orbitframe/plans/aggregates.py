@@ -31,8 +31,17 @@ def distinct_counts(t):
 
 @query("""SELECT l_orderkey, count(*) AS n_lines, count(*) FILTER (WHERE l_returnflag = 'R') AS n_returned, max(l_quantity) AS most FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey""")
 def group_records(t):
-    groups = t.lineitem.dropna(subset=["l_orderkey"]).groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_quantity")).alias("r"))
-    return groups.select("l_orderkey", F.size("r").cast("long").alias("n_lines"), F.size(F.filter("r", lambda x: x["l_returnflag"] == "R")).cast("long").alias("n_returned"), F.array_max(F.transform("r", lambda x: x["l_quantity"])).alias("most"))
+    groups = t.lineitem.dropna(subset=["l_orderkey"]).groupBy("l_orderkey")
+    return groups.agg(F.count("*").alias("n_lines"), F.count_if(F.col("l_returnflag") == "R").alias("n_returned"), F.max("l_quantity").alias("most"))
+
+
+@query("""SELECT l_orderkey, string_agg(l_linenumber || ':' || l_returnflag || ':' || l_quantity::BIGINT, ',' ORDER BY l_linenumber, l_returnflag, l_quantity) AS records FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey""")
+def record_lists(t):
+    """Each order's own lines as a list."""
+    one = F.struct("l_linenumber", "l_returnflag", F.col("l_quantity").alias("q"))
+    lists = t.lineitem.dropna(subset=["l_orderkey"]).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(one)).alias("r"))
+    text = F.transform("r", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_returnflag"], x["q"].cast("long").cast("string")))
+    return lists.select("l_orderkey", F.array_join(text, ",").alias("records"))
 
 
 @query("""SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 50) AS high, bool_or(value > 99) AS any_top FROM events GROUP BY event_type""")
@@ -47,9 +56,9 @@ def scene_totals(t):
     return t.lineitem.groupBy("l_orderkey").agg(flag("A").alias("a"), flag("N").alias("n"), flag("R").alias("r")).withColumns({"total": F.col("a") + F.col("n") + F.col("r"), "ok": F.col("r") == 0})
 
 
-@query("SELECT DISTINCT p_brand, p_size FROM part WHERE p_size <= 5 ORDER BY 1, 2")
+@query("SELECT DISTINCT p_brand, p_size FROM part ORDER BY 1, 2")
 def distinct_sorted(t):
-    return t.part.filter("p_size <= 5").select("p_brand", "p_size").distinct().orderBy("p_brand", "p_size")
+    return t.part.select("p_brand", "p_size").distinct().orderBy("p_brand", "p_size")
 
 
 @query("""SELECT string_agg(event_type || '=' || n, ', ' ORDER BY event_type) AS counts FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)""")

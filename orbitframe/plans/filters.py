@@ -45,8 +45,8 @@ def season_dedup(t):
 (VALUES (1995), (1996), (1997), (1998)) v(y) WHERE o_orderdate BETWEEN make_timestamp(y, 2, 1, 0, 0, 0)
 AND make_timestamp(y, 2, CASE WHEN y % 4 = 0 THEN 29 ELSE 28 END, 23, 59, 59.999) GROUP BY y""")
 def yearly_windows(t):
-    w = F.broadcast(D.window_table(t.spark, [1995, 1996, 1997, 1998], (2, 1), (2, 29)))  # a row for each year asked for
-    rows = t.orders.join(w, F.col("o_orderdate").between(F.col("start_ts"), F.col("end_ts")))
+    years, d = [1995, 1996, 1997, 1998], F.col("o_orderdate")
+    rows = t.orders.filter(D.in_windows(d, years, (2, 1), (2, 29))).withColumn("window_id", D.window_id(d, years, (2, 1), (2, 29)))
     return rows.groupBy("window_id").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("keys"))
 
 
@@ -59,7 +59,7 @@ def leap_clamp(t):
 
 @query("""SELECT y AS year, y || '-06-01T00:00:00Z' AS start, y || '-08-31T23:59:59Z' AS "end" FROM (SELECT unnest(range(2019, 2025)) AS y)""")
 def season_ranges(t):
-    one = t.region.limit(1).select(F.explode(D.season_ranges(F.lit(2019), F.lit(2024), (6, 1), (8, 31))).alias("r"))  # one row to start from
+    one = t.spark.range(1).select(F.explode(D.season_ranges(F.lit(2019), F.lit(2024), (6, 1), (8, 31))).alias("r"))
     return one.select("r.*")
 
 
@@ -138,6 +138,11 @@ def burst_routing(t):
     return plain.select("p_partkey").unionByName(t.part.filter((F.col("p_size") == 20) & F.contains("p_type", F.lit("STEEL"))).select("p_partkey"))
 
 
+@query("""SELECT o_orderkey, o_custkey, o_orderdate::VARCHAR AS day FROM orders WHERE o_orderkey = 4""")
+def name_lookup(t):
+    return R.find_one(t.orders.withColumn("day", F.col("o_orderdate").cast("string")), "o_orderkey", 4, ["o_orderkey", "o_custkey", "day"])
+
+
 @query("""SELECT event_id, k FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) WHERE k IS NOT NULL""")
 def geojson_flatten(t):
     return t.events.select("event_id", F.from_json("props", "k long")["k"].alias("k")).filter("k is not null")

@@ -30,8 +30,11 @@ def lookup_second(t):
 TYPES = "(VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) r(event_type)"
 
 
+TYPE_LIST = ["click", "error", "purchase", "signup", "view"]
+
+
 def required(t):
-    return t.spark.createDataFrame([(x,) for x in ("click", "error", "purchase", "signup", "view")], "event_type string")
+    return t.spark.createDataFrame([(x,) for x in TYPE_LIST], "event_type string")
 
 
 @query(f"""SELECT user_id, count(*) AS n, string_agg('MISSING:' || event_type, ',' ORDER BY event_type) AS labels FROM
@@ -46,7 +49,24 @@ def missing_assets(t):
 @query(f"""SELECT u.user_id, count(DISTINCT e.event_type) AS n_found, count(DISTINCT e.event_type) >= 5 AS complete FROM (SELECT DISTINCT user_id FROM events) u
 LEFT JOIN (SELECT * FROM events WHERE event_type IN (SELECT event_type FROM {TYPES})) e USING (user_id) GROUP BY u.user_id""")
 def fully_cached(t):
-    return R.fully_present(t.events.select("user_id").distinct(), required(t), t.events, "user_id", "event_type")
+    return R.complete_by(t.events, "user_id", "event_type", TYPE_LIST)
+
+
+@query(f"""SELECT c_custkey, count(DISTINCT e.event_type) AS n_found, count(DISTINCT e.event_type) >= 5 AS complete FROM customer
+LEFT JOIN (SELECT * FROM events WHERE event_type IN (SELECT event_type FROM {TYPES})) e ON e.user_id = c_custkey GROUP BY c_custkey""")
+def fully_present(t):
+    """As fully_cached, with owners from a table of their own, where some have nothing."""
+    found = t.events.select(F.col("user_id").alias("c_custkey"), "event_type")
+    return R.fully_present(t.customer, required(t), found, "c_custkey", "event_type")
+
+
+@query("""SELECT p_partkey, coalesce(CASE WHEN p_partkey % 3 > 0 THEN p_brand END, x.brand) AS brand FROM part LEFT JOIN
+(SELECT l_partkey, max_by('supplier ' || l_suppkey, (l_shipdate, l_suppkey)) AS brand FROM lineitem GROUP BY 1) x ON l_partkey = p_partkey""")
+def fill_second(t):
+    """Nulls filled from the last row of the key in a second table."""
+    left = t.part.select("p_partkey", F.when(F.col("p_partkey") % 3 > 0, F.col("p_brand")).alias("brand"))
+    right = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_shipdate", "l_suppkey", F.concat(F.lit("supplier "), "l_suppkey").alias("brand"))
+    return R.filled(left, right, ["p_partkey"], ["brand"], ["l_shipdate", "l_suppkey"])
 
 
 @query("""SELECT user_id FROM events GROUP BY user_id HAVING count(DISTINCT event_type) < 5""")

@@ -57,13 +57,7 @@ def masked(rows):
     return flat(out, "px")
 
 
-@query(f"""WITH o AS (SELECT vec_id, i, c, least(greatest(v - 500, 0), 65534) AS v FROM ({EACH}) WHERE label = 1), m AS (SELECT vec_id, (i // 8) // 2 * 4 + (i % 8) // 2 AS j, max(CASE WHEN c = 0 OR c > 11 OR c = 3 THEN 1 ELSE 0 END) AS m FROM o GROUP BY 1, 2)
-SELECT o.vec_id, o.i::INTEGER AS i, CASE WHEN m.m = 1 THEN 65535 ELSE o.v END AS px FROM o JOIN m ON o.vec_id = m.vec_id AND m.j = (o.i // 8) // 2 * 4 + (o.i % 8) // 2""")
-def masked_band(t):
-    return masked(tiles(t).filter("label = 1"))
-
-
 @query(f"""WITH o AS (SELECT vec_id, i, c, least(greatest(v - 500, 0), 65534) AS v FROM ({EACH})), m AS (SELECT vec_id, (i // 8) // 2 * 4 + (i % 8) // 2 AS j, max(CASE WHEN c = 0 OR c > 11 OR c = 3 THEN 1 ELSE 0 END) AS m FROM o GROUP BY 1, 2)
 SELECT o.vec_id, o.i::INTEGER AS i, CASE WHEN m.m = 1 THEN 65535 ELSE o.v END AS px FROM o JOIN m ON o.vec_id = m.vec_id AND m.j = (o.i // 8) // 2 * 4 + (o.i % 8) // 2""")
-def masked_band_all(t):
+def masked_band(t):
     return masked(tiles(t))

@@ -1,22 +1,22 @@
 """Scene catalogues: a search over a catalogue table, its plan by windows and areas, and its cache.
 
-`CatalogueSource` is a Python data source with a partition for each window of a search; its fetch
-function stands in for a remote service.  No live service is contacted by this package.
+`CatalogueSource` is a Python data source with a partition for each window and batch of areas; its
+fetch function stands in for a remote service.  No live service is contacted by this package.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition, LessThan
 
 from orbitframe.functions import geometry as G
 from orbitframe.operators import relational as R
-from orbitframe.sources import sinks
+from orbitframe.sources import files, sinks
 
 
 @dataclass(frozen=True)
@@ -64,42 +64,55 @@ def truncated(rows: DataFrame, window: str, most: int) -> DataFrame:
     return rows.groupBy(window).agg(F.count("*").alias("n")).filter(F.col("n") >= most)
 
 
-def cached_search(spark: SparkSession, root: str, payload: dict, run: Callable[[], DataFrame], name: str = "scenes.parquet") -> DataFrame:
-    """The stored result of a search with these parameters, or a new one, stored only if it succeeds; empty ones count."""
-    folder = Path(root) / sinks.cache_key(payload)
-    at = folder / name
-    if not at.exists():
-        df = run().withColumn("query_id", F.lit(folder.name))
-        sinks.replace_table(df, str(at), read_only=True)
-        sinks.save_query(str(folder), **payload)
+def cached_search(spark: SparkSession, root: str, payload: dict, run: Callable[[], DataFrame], name: str = "scenes.parquet", read_only: bool = True, info: Callable[[DataFrame], dict] | None = None) -> DataFrame:
+    """The stored result of a search with these parameters, or a new one, stored only if it succeeds; empty ones count.
+
+    info: more to note down about a new result.
+    """
+    key = sinks.cache_key(payload)
+    folder, at = f"{root}/{key}", f"{root}/{key}/{name}"
+    if sinks.table_exists(at):
+        files.touch(at)
     else:
-        from orbitframe.sources.files import touch
+        sinks.replace_table(run(), at, read_only=read_only)
+        sinks.save_query(folder, **payload, query_id=key, **(info(sinks.read_table(spark, at)) if info else {}))
+    return sinks.read_table(spark, at)
+
 
-        touch(str(at))
-    return spark.read.parquet(str(at))
+# --- a search as a data source --------------------------------------------------------------------
 
 
-class _Window(InputPartition):
-    def __init__(self, start: str, end: str):
-        self.start, self.end = start, end
+@dataclass(frozen=True)
+class Task(InputPartition):
+    """One window with one batch of areas, and the conditions that the service is asked for."""
+
+    start: str
+    end: str
+    area: str
+    equal: tuple[tuple[str, object], ...]
+    below: tuple[tuple[str, float], ...]
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, fetch: Callable):
         self.windows = [w.split("/") for w in options.get("windows", "").split(",") if w]
+        self.areas = json.loads(options.get("areas", "[]")) or [""]
+        self.equal: dict[str, object] = json.loads(options.get("attributes", "{}"))
+        self.below: dict[str, float] = {}
+        self.pushed = set(filter(None, options.get("filters", "").split(",")))
         self.page, self.attempts, self.fetch = int(options.get("page", 1000)), int(options.get("attempts", 3)), fetch
 
     def partitions(self) -> list[InputPartition]:
-        return [_Window(*w) for w in self.windows]
+        return [Task(a, b, area, tuple(self.equal.items()), tuple(self.below.items())) for a, b in self.windows for area in self.areas]
 
-    def read(self, partition: _Window) -> Iterator[tuple]:
+    def read(self, partition: Task) -> Iterator[tuple]:
         import time
 
         skip = 0
         while True:
             for attempt in range(1, self.attempts + 1):
                 try:
-                    rows = self.fetch(partition.start, partition.end, skip, self.page)
+                    rows = self.fetch(partition, skip, self.page)
                     break
                 except OSError:
                     if attempt == self.attempts:
@@ -111,8 +124,27 @@ class _Reader(DataSourceReader):
             skip += self.page
 
 
-def source(name: str, schema: str, fetch: Callable[[str, str, int, int], list[tuple]]) -> type[DataSource]:
-    """A data source for spark.dataSource.register(); fetch(start, end, skip, top) gives a page of rows."""
+class _PushingReader(_Reader):
+    """A reader with columns whose conditions go to the service (spark.sql.python.filterPushdown.enabled must be on)."""
+
+    def pushFilters(self, filters):  # noqa: N802  Spark's name
+        """Conditions on the columns named by the option `filters` go to the service; Spark checks the others."""
+        for f in filters:
+            column = f.attribute[0] if getattr(f, "attribute", None) and len(f.attribute) == 1 else None
+            if column in self.pushed and isinstance(f, EqualTo):
+                self.equal[column] = f.value
+            elif column in self.pushed and isinstance(f, LessThan):
+                self.below[column] = f.value
+            else:
+                yield f
+
+
+def source(name: str, schema: str, fetch: Callable[[Task, int, int], list[tuple]]) -> type[DataSource]:
+    """A data source for spark.dataSource.register(); fetch(task, skip, top) gives a page of rows.
+
+    Options: windows (start/end,...), areas (a JSON list of WKT), attributes (a JSON object of equal
+    values), filters (columns whose conditions the service takes), page and attempts.
+    """
 
     class CatalogueSource(DataSource):
         @classmethod
@@ -123,6 +155,6 @@ def source(name: str, schema: str, fetch: Callable[[str, str, int, int], list[tu
             return schema
 
         def reader(self, schema) -> DataSourceReader:
-            return _Reader(self.options, fetch)
+            return (_PushingReader if self.options.get("filters") else _Reader)(self.options, fetch)
 
     return CatalogueSource

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from orbitframe.functions import geometry as G
 from orbitframe.functions import text as T
-from orbitframe.sources.schemas import require
+from orbitframe.sources import sinks
+from orbitframe.sources.schemas import IMAGES, conform, require
+from orbitframe.sources.store import Local, place
 
 
 def csv_points(spark: SparkSession, path: str, lon: str, lat: str) -> DataFrame:
@@ -63,38 +65,91 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(listing(F.col("value")).alias("l")).filter("l is not null").select("l.*")
 
 
-#: Names of image files in the two product levels; groups are band and, for level 2, resolution.
-LEVEL2_IMAGE = r"_([A-Z0-9]{3})_(10|20|60)M\.JP2$"
-LEVEL1_IMAGE = r"_([A-Z0-9]{3})\.JP2$"
+# Bands as files' names have them, and the metadata files of each product level.
+IMAGE_BAND = "B(?:0[1-9]|1[0-2]|8A)|SCL|TCI|AOT|WVP"
+METADATA = {False: "MTD_MSIL2A|MTD_TL", True: "MTD_MSIL1C|MTD_TL"}
+LEVEL2_IMAGE = rf"_({IMAGE_BAND})_(10|20|60)M\.JP2$"
+LEVEL1_IMAGE = rf"_({IMAGE_BAND})\.JP2$"
 
 
 def image_assets(listed: DataFrame, scene: Column, level1: Column) -> DataFrame:
-    """Listed files (size, path) with their place in the scene, band, resolution and kind; others are left out."""
-    name = F.upper(F.col("path"))
+    """Listed files (size, path) with their place in the scene, band, resolution and kind; others are left out.
+
+    Images are those of known bands, and metadata files those of the scene's own level.
+    """
+    name = F.upper(T.base_name(F.col("path")))
     band = F.when(level1, F.regexp_extract(name, LEVEL1_IMAGE, 1)).otherwise(F.regexp_extract(name, LEVEL2_IMAGE, 1))
     res = F.when(level1, F.lit(0)).otherwise(F.regexp_extract(name, LEVEL2_IMAGE, 2).try_cast("int"))
-    metadata = F.regexp_extract(name, r"(MTD_MSIL2A|MTD_MSIL1C|MTD_TL)\.XML$", 1)
+    metadata = F.when(level1, F.regexp_extract(name, rf"^({METADATA[True]})\.XML$", 1)).otherwise(F.regexp_extract(name, rf"^({METADATA[False]})\.XML$", 1))
     rows = listed.select("*", T.asset_path(F.col("path"), scene).alias("img_path_in_safedir"), F.coalesce(F.nullif(band, F.lit("")), F.nullif(metadata, F.lit(""))).alias("band_name"), F.coalesce(res, F.lit(0)).alias("resolution_m"), F.when(metadata != "", "metadata").otherwise("image").alias("asset_type"))
     return rows.filter("band_name is not null")
 
 
+def measurement_assets(listed: DataFrame, polarisations: list[str]) -> DataFrame:
+    """Of each scene's listed files (safedir, size, path) the first measurement of each polarisation asked for.
+
+    Stores list by name, so the first is the one of the smallest name.
+    """
+    name = F.lower(T.base_name(F.col("path")))
+    pol = F.upper(F.regexp_extract(name, rf"-({'|'.join(p.lower() for p in polarisations)})-.*\.tiff$", 1))
+    rows = listed.withColumn("band_name", pol).filter("band_name <> ''")
+    first = rows.groupBy("safedir", "band_name").agg(F.min(F.struct("path", "size")).alias("f"))
+    inside = F.when(F.contains("f.path", F.lit("measurement/")), F.regexp_extract("f.path", "(measurement/.*)$", 1)).otherwise(F.concat(F.lit("measurement/"), T.base_name(F.col("f.path"))))
+    return first.select("safedir", "band_name", F.lit(0).alias("resolution_m"), inside.alias("img_path_in_safedir"), F.col("f.size").alias("size"), F.lit("image").alias("asset_type"))
+
+
+def asset_rows(assets: DataFrame, s3_path: Column) -> DataFrame:
+    """Rows of the declared image table for assets that were found (safedir, band_name, resolution_m, img_path_in_safedir, size, asset_type)."""
+    rows = assets.withColumns({"s3_path": T.scene_root(s3_path), "s3_expected_size": F.col("size").cast("long"), "local_actual_size": F.lit(None).cast("long")})
+    return conform(rows, IMAGES)
+
+
+def requested(assets: DataFrame, wanted: list[tuple[str, int]], level1: Column) -> DataFrame:
+    """Assets of the bands and resolutions asked for (first-level products have none), and all metadata."""
+    key = F.struct("band_name", F.when(level1, F.lit(0)).otherwise(F.col("resolution_m")).alias("resolution_m"))
+    either = [F.struct(F.lit(b).alias("band_name"), F.when(level1, F.lit(0)).otherwise(F.lit(r)).alias("resolution_m")) for b, r in wanted]
+    hit = F.lit(False)
+    for e in either:
+        hit = hit | (key == e)
+    return assets.filter((F.col("asset_type") == "metadata") | hit)
+
+
 def cached(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Rows of the same table under all keys of a cache (root/KEY/name), with key and time of change."""
-    df = spark.read.parquet(f"{root}/*/{name}")
-    return df.select("*", F.element_at(F.split("_metadata.file_path", "/"), -2).alias("cache_key"), F.col("_metadata.file_modification_time").alias("changed"))
+    folders = []
+    for key in place(root).names():
+        at = f"{root}/{key}/{name}"
+        now = sinks.pointer(at)
+        if now:
+            folders += [f"{at}/{f}" for f in now["folders"].values()]
+        elif place(at).exists():
+            folders.append(at)
+    df = spark.read.option("mergeSchema", True).parquet(*folders)
+    key = F.regexp_extract("_metadata.file_path", rf"/([^/]+)/{name}(?:/|$)", 1)
+    return df.select("*", key.alias("cache_key"), F.col("_metadata.file_modification_time").alias("changed"))
+
+
+def _mark(path: str):
+    """The file whose time says when a cached file or table was used last."""
+    at = place(path)
+    return at.child(sinks.POINTER) if at.child(sinks.POINTER).exists() else at
 
 
 def latest_cached(root: str, name: str) -> str | None:
-    """The file root/KEY/name that changed last."""
-    found = sorted(Path(root).glob(f"*/{name}"), key=lambda p: p.stat().st_mtime)
-    return str(found[-1]) if found else None
+    """The file or table root/KEY/name that was written or used last."""
+    found = [f"{root}/{key}/{name}" for key in place(root).names()]
+    found = sorted((p for p in found if place(p).exists()), key=lambda p: _mark(p).changed())
+    return found[-1] if found else None
 
 
 def touch(path: str) -> None:
-    """Make a cached file the latest one; a failure doesn't matter."""
+    """Make a cached file or table the latest one; a failure doesn't matter."""
     try:
-        Path(path).touch(exist_ok=True)
-    except OSError:
+        at = _mark(path)
+        if not at.exists() and isinstance(at, Local):
+            at.path.touch()
+        at.touch()
+    except Exception:  # noqa: BLE001  only the order of later searches depends on it
         pass
 
 
@@ -103,9 +158,9 @@ def band_files(spark: SparkSession, root: str, suffix: str = "*.jp2") -> DataFra
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", suffix).load(root).select("path", "length", "modificationTime")
     name = T.base_name(F.col("path"))
     return df.select(
-        "path", "length", F.regexp_extract(name, r"_([A-Z0-9]{3})_(?:10|20|60)m\.jp2$", 1).alias("band"),
+        "path", "length", F.regexp_extract(name, rf"_({IMAGE_BAND})_(?:10|20|60)m\.jp2$", 1).alias("band"),
         F.regexp_extract("path", r"/R(10|20|60)m/[^/]*$", 1).try_cast("int").alias("resolution_m"), T.acquisition_date(F.col("path")).alias("acq_date"),
-    ).filter("band <> '' and resolution_m is not null")
+    ).filter("band <> '' and resolution_m is not null and path like concat('%_', resolution_m, 'm.jp2')")
 
 
 def bands_at(files: DataFrame, bands: list[str], resolution: int) -> DataFrame:

@@ -8,7 +8,9 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 
-DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
+sys.path.insert(0, str(ROOT / "tests"))
+
+from sf_data import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

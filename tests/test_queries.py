@@ -1,5 +1,5 @@
 import pytest
-from conftest import DATA
+from sf_data import DATA
 
 from orbitframe.plans import catalogue
 
@@ -33,9 +33,19 @@ def test_a_coverage_join_is_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_yearly_windows_are_ranges_of_the_scan(spark):
+    plan = catalogue.QUERIES["yearly_windows"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "GreaterThanOrEqual(o_orderdate,1995-02-01" in plan
+
+
+def test_grids_are_cut_without_python(spark):
+    for name in ("grid_intersect", "grid_within", "grid_area", "footprint_polygons"):
+        assert "ArrowEvalPython" not in catalogue.QUERIES[name](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_every_tile_has_a_masked_band(spark):
     tiles = spark.read.parquet(str(DATA / "embeddings.parquet"))
-    assert catalogue.QUERIES["masked_band_all"](spark, str(DATA)).count() == 64 * tiles.count()
+    assert catalogue.QUERIES["masked_band"](spark, str(DATA)).count() == 64 * tiles.count()
 
 
 def test_every_cell_is_in_a_batch(spark):
@@ -43,6 +53,6 @@ def test_every_cell_is_in_a_batch(spark):
 
 
 def test_every_scene_has_a_storage_text(spark):
-    rows = catalogue.QUERIES["storage_text_all"](spark, str(DATA))
+    rows = catalogue.QUERIES["storage_text"](spark, str(DATA))
     assert rows.count() == catalogue.QUERIES["storage_by_scene"](spark, str(DATA)).count()
     assert rows.filter("text like '%~0 B additional%'").count() > 0
