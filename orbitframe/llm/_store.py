@@ -5,27 +5,47 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list = []
 _own: dict[str, str] = {}
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder named by spark.checkpoint.dir.
+
+    Where that is unset a local session gets a temporary folder, and one on a cluster an error: no
+    folder of one machine will do there.
+    """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="orbitframe-")
-        _own[spark.sparkContext.applicationId] = found
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        at = spark.sparkContext.applicationId
+        found = _own[at] = _own.get(at) or "file://" + tempfile.mkdtemp(prefix="orbitframe-")
     return found.rstrip("/")
 
 
+@contextmanager
+def tidied(spark: SparkSession):
+    """Shuffle files of what runs within go when it ends: the result is in the shared folder by then."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet under the shared folder and read it again: this cuts the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/orbitframe/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with tidied(spark):
+        df.write.option("compression", "zstd").parquet(path)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -53,13 +73,3 @@ def _clean() -> None:
         except Exception:  # noqa: BLE001  the session may be gone at exit
             return
 
-
-def tidy(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    import gc
-    import time
-
-    for _ in range(2):  # what the first round frees may hold what the second one finds
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)

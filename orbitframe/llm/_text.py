@@ -45,11 +45,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def tables(lower: bool, letters: bool) -> tuple[np.ndarray, np.ndarray]:
+def low(part: float) -> int:
+    """The 64-bit number that this part of all are not above."""
+    return min((1 << 63) - 1, -(1 << 63) + int(part * (1 << 64)))
+
+
+def tables(lower: bool, letters: bool, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit value for each byte, and whether it is part of a word (letters: no ASCII signs are)."""
-    key = ("tables", lower, letters)
+    key = ("tables", lower, letters, second)
     if key not in cache():
-        values = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
+        values = mix(np.arange(1, 257, dtype=U) * U(0xC2B2AE3D27D4EB4F if second else 0xD6E8FEB86659FD93))
         if lower:
             values[65:91] = values[97:123]
         inside = np.ones(256, dtype=bool)
@@ -75,21 +80,26 @@ class Words:
         self.text_start = np.concatenate([[0], np.cumsum(sizes)])
         #: words first[t] to first[t + 1] are those of text t
         self.first = np.searchsorted(self.start, self.text_start)
-        up, down = powers(len(buf) + 1)
-        total = np.zeros(len(buf) + 1, dtype=U)
-        np.cumsum(values[buf] * up[: len(buf)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * down[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(U) * U(0xA24BAED4963EE407))
+        self.hash = self.hashed(values)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start word and hash of each window of k words that lies in one text."""
-        n = len(self.hash)
+    def hashed(self, values: np.ndarray) -> np.ndarray:
+        """Each word's hash from the values of its bytes."""
+        up, down = powers(len(self.buf) + 1)
+        total = np.zeros(len(self.buf) + 1, dtype=U)
+        np.cumsum(values[self.buf] * up[: len(self.buf)], out=total[1:])
+        h = (total[self.end] - total[self.start]) * down[self.start]
+        return mix(h + (self.end - self.start).astype(U) * U(0xA24BAED4963EE407))
+
+    def windows(self, k: int, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Start word and hash of each window of k words that lies in one text; words: other hashes to take."""
+        words = self.hash if words is None else words
+        n = len(words)
         if n < k:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
         up, down = powers(n + 1)
         total = np.zeros(n + 1, dtype=U)
-        np.cumsum(self.hash * up[:n], out=total[1:])
+        np.cumsum(words * up[:n], out=total[1:])
         at = np.flatnonzero(self.text[: n - k + 1] == self.text[k - 1 :])
         return at, mix((total[at + k] - total[at]) * down[at] + U(k))
 

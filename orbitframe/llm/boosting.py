@@ -67,10 +67,11 @@ def probability(model: Trees, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-(model.slope * raw(model, x) + model.shift)))
 
 
-def fit(names: tuple[str, ...], x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.2) -> Trees:
-    """Boosted trees for log loss, calibrated on every fourth row, which no tree sees."""
-    held = np.arange(len(x)) % 4 == 0
-    a, b = x[~held], y[~held]
+def fit(names: tuple[str, ...], x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.2, grown: np.ndarray | None = None, held: np.ndarray | None = None) -> Trees:
+    """Boosted trees for log loss, grown on some rows and calibrated on others (every fourth, unless masks are given)."""
+    held = np.arange(len(x)) % 4 == 0 if held is None else held
+    grown = ~held if grown is None else grown
+    a, b = x[grown], y[grown]
     p = np.clip(b.mean(), 1e-3, 1 - 1e-3)
     base, trees = math.log(p / (1 - p)), []
     score = np.full(len(a), base)

@@ -7,6 +7,24 @@ from pyspark.sql import functions as F
 
 from ._store import materialise, release
 
+#: A key with more than this share of all rows is looked up in a broadcast table, which so has few rows.
+HOT_SHARE = 512
+LEAST_HOT = 64
+
+
+def with_value(rows: DataFrame, key: str, values: DataFrame, total: int) -> DataFrame:
+    """rows joined to values (key, m, n) by their key; n: how many of the rows have it, total: how many there are.
+
+    Rows of the keys that have very many of them stay where they are: there are at most HOT_SHARE such
+    keys, whatever the input, and their values are broadcast.
+    """
+    often = F.col("n") > max(LEAST_HOT, total // HOT_SHARE)
+    hot = values.filter(often).select(F.col(key).alias("__key"), F.col("m").alias("__m"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("__key"), "left")
+    kept = marked.filter("__key is not null").withColumnRenamed("__m", "m").drop("__key")
+    others = marked.filter("__key is null").drop("__key", "__m").join(values.filter(~often).select(key, "m"), key)
+    return kept.unionByName(others.select(*kept.columns))
+
 
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node and component (the smallest node reachable) for each node of edges (a, b).
@@ -14,24 +32,26 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Alternates large-star and small-star steps until nothing changes; each step is two
     aggregations over the edges, which are at most as many as the nodes after the first steps.
     Each round's table goes to the shared folder, so a lost executor costs one round at most.
-    Hubs are aggregated with partial sums and never collected.
+    Hubs are aggregated with partial results and never gathered in one task.
     """
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     now = materialise(now, name)
-    before = None
-    while True:
+    before, n = None, now.count()
+    while n:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         # large star: a node's larger neighbours go to its smallest neighbour
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = with_value(both.filter("b > a"), "a", least, 2 * n).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = materialise(large, name)
         # small star: a node and its smaller neighbours go to the smallest of them
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(small, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        joined = with_value(large, "a", small, n).select(F.col("b").alias("a"), F.col("m").alias("b"))
         step = joined.unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
         step = materialise(step, name)
         mark = step.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         release(now)
-        now = step
+        release(large)
+        now, n = step, mark[0]
         if mark == before:
             break
         before = mark

@@ -14,7 +14,9 @@ of its answer (what follows the last question mark, line feed or sentence end th
 parts five words, else the last third) that the text holds.  The item is in the text if both shares,
 or that of the whole item, are `overlap` or more.
 
-The items go to executors in shards of at most `SHARD_BYTES`, one scan of the texts for each.
+The items go to executors in shards of about `SHARD_BYTES`, one scan of the texts for each, one
+after another; how common a term is and how long segments are is counted over all items first, so
+the number of shards changes no score.
 
 Words are runs of letters and digits, lower-cased.  Defined results: a null or empty text holds
 nothing; an item of fewer than five words is one shingle, and one without words, or a null one, is
@@ -29,9 +31,10 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._store import materialise
 from ._text import U, Words, batches
 
 SEGMENT = 128
@@ -82,7 +85,7 @@ class Index:
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # shingles of question, answer and whole, by place
     whole: list[int]  # how many words of a shingle, by place
     owner: np.ndarray  # place of each segment
-    length: int  # words of the longest segment
+    length: int  # words of the longest segment of all
     vocabulary: np.ndarray  # term hashes, sorted
     seg_terms: list[np.ndarray]  # terms of each segment
     seg_impact: list[np.ndarray]
@@ -92,8 +95,31 @@ class Index:
     rest: np.ndarray  # by block: the largest total of low-impact terms
 
 
-def build(rows: list[tuple[int, str]]) -> Index | None:
-    """The index of (item_id, text); None if no item has a word."""
+@dataclass
+class Counts:
+    """Over all items: how many segments there are, their mean and greatest length, and terms with the segments that hold each."""
+
+    segments: int
+    mean: float
+    longest: int
+    terms: np.ndarray  # hashes, ascending
+    df: np.ndarray
+
+
+def segments_of(words: np.ndarray) -> list[np.ndarray]:
+    """An item's words in stretches of SEGMENT at most."""
+    return np.array_split(words, math.ceil(len(words) / SEGMENT)) if len(words) else []
+
+
+def counts_of(rows: list[tuple[int, str]]) -> Counts:
+    parts = [s for _, text in rows for s in segments_of(hashes([text.encode()]).hash)]
+    terms, df = np.unique(np.concatenate([np.unique(s) for s in parts] or [np.zeros(0, U)]), return_counts=True)
+    return Counts(len(parts), sum(map(len, parts)) / max(1, len(parts)), max(map(len, parts), default=0), terms, df)
+
+
+def build(rows: list[tuple[int, str]], counts: Counts | None = None) -> Index | None:
+    """The index of (item_id, text); None if no item has a word.  counts: those of all items, if these aren't all."""
+    counts = counts or counts_of(rows)
     items, parts, whole, owner, segments = [], [], [], [], []
     for i, text in sorted(rows):
         q, a = halves(text)
@@ -104,8 +130,7 @@ def build(rows: list[tuple[int, str]]) -> Index | None:
         items.append(i)
         whole.append(min(5, len(w[0])))
         parts.append((shingles(w[1]), shingles(w[2]), shingles(w[0])))
-        n = math.ceil(len(w[0]) / SEGMENT)
-        for s in np.array_split(w[0], n):
+        for s in segments_of(w[0]):
             owner.append(len(items) - 1)
             segments.append(s)
     if not items:
@@ -113,13 +138,12 @@ def build(rows: list[tuple[int, str]]) -> Index | None:
     vocabulary, flat = np.unique(np.concatenate(segments), return_inverse=True)
     cut = np.cumsum([len(s) for s in segments])[:-1]
     counted = [np.unique(x, return_counts=True) for x in np.split(flat, cut)]
-    df = np.bincount(np.concatenate([c[0] for c in counted]), minlength=len(vocabulary))
-    idf = np.log(1 + (len(segments) - df + 0.5) / (df + 0.5))
-    mean = len(flat) / len(segments)
+    df = counts.df[np.searchsorted(counts.terms, vocabulary)]
+    idf = np.log(1 + (counts.segments - df + 0.5) / (df + 0.5))
     terms, impacts, rest = [], [], np.zeros(math.ceil(len(segments) / BLOCK))
     best: list[dict[int, float]] = [{} for _ in vocabulary]
     for k, ((t, tf), s) in enumerate(zip(counted, segments)):
-        x = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(s) / mean))
+        x = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(s) / counts.mean))
         x /= x.sum()
         order = np.argsort(x, kind="stable")
         low = order[np.cumsum(x[order]) <= BOUNDED]
@@ -131,7 +155,7 @@ def build(rows: list[tuple[int, str]]) -> Index | None:
             d[k // BLOCK] = max(d.get(k // BLOCK, 0.0), float(x[j]))
     sizes = np.array([len(d) for d in best])
     return Index(
-        items, parts, whole, np.array(owner), max(map(len, segments)), vocabulary, terms, impacts,
+        items, parts, whole, np.array(owner), counts.longest, vocabulary, terms, impacts,
         np.concatenate([[0], np.cumsum(sizes)]), np.array([b for d in best for b in sorted(d)], dtype=np.int64),
         np.array([d[b] for d in best for b in sorted(d)]), rest,
     )
@@ -215,7 +239,24 @@ def find(index: Index | None, texts: list[bytes], threshold: float, overlap: flo
     return [tuple(x) for x in kept]
 
 
-SCHEMA = "n_retrieved long, items array<long>, overlap double"
+def counted(items: DataFrame, shard: Column) -> tuple[DataFrame, int, float, int]:
+    """shard, term and df (segments of all items that hold the term); how many segments there are, their mean and greatest length."""
+
+    def run(it):
+        import pyarrow as pa
+
+        for rows in batches(it, ["text", "shard"]):
+            for text, own in rows:
+                for s in segments_of(hashes([text]).hash):
+                    terms = np.unique(s).view(np.int64)
+                    k = len(terms)
+                    cols = [pa.array(np.full(k, own), pa.int32()), pa.array(terms), pa.array(np.arange(k) == 0), pa.array(np.full(k, len(s)), pa.int64())]
+                    yield pa.RecordBatch.from_arrays(cols, ["shard", "term", "first", "words"])
+
+    terms = materialise(items.select("text", shard.alias("shard")).mapInArrow(run, "shard int, term long, first boolean, words long"), "terms")
+    total = terms.filter("first").agg(F.count("*"), F.sum("words"), F.max("words")).first()
+    df = terms.groupBy("term").agg(F.count("*").alias("df"))
+    return terms.select("shard", "term").distinct().join(df, "term"), total[0], (total[1] or 0) / max(1, total[0]), total[2] or 0
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -223,28 +264,52 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / SHARD_BYTES))
-    spark, fields = docs.sparkSession, {f.name: f for f in docs.schema.fields}
-    columns = ["text", *[c for c in ("doc_id", *extra) if c != "text"]]
-    keep = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in columns)
-    out = docs.select(*columns).withColumns({"__n": F.lit(0).cast("long"), "__items": F.lit(None).cast("array<long>"), "__best": F.lit(0.0)})
-    for shard in range(n):
-        rows = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == shard).collect()]  # about SHARD_BYTES
-        sent = spark.sparkContext.broadcast(build(rows))
-
-        def run(it, sent=sent):
+    spark, shard = docs.sparkSession, F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int")
+    terms, n_segments, mean, longest = counted(items, shard)
+
+    def index_of(k: int):
+        """The broadcast index of a shard, whose size SHARD_BYTES bounds."""
+        rows = [tuple(r) for r in items.filter(shard == k).collect()]
+        own = terms.filter(F.col("shard") == k).select("term", "df").toArrow()
+        at = own.column(0).to_numpy().view(U)
+        order = np.argsort(at)
+        return spark.sparkContext.broadcast(build(rows, Counts(n_segments, mean, longest, at[order], own.column(1).to_numpy()[order])))
+
+    def judged(rows: DataFrame, columns: list[str], sent, hits_only: bool) -> DataFrame:
+        """The columns and __n, __items, __best for each of rows, or only for those that have something."""
+        fields = {f.name: f for f in rows.schema.fields}
+        keep = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in columns)
+        place = rows.columns.index("text")
+
+        def run(it):
             import pyarrow as pa
 
             for b in it:
                 found, index = [], sent.value
-                for part in batches([b], ["text"]):
+                for part in batches([b], [b.schema.names[place]]):
                     found += find(index, [r[0] for r in part], threshold, overlap)
-                before = zip(*(b.column(k).to_pylist() for k in range(len(columns), len(columns) + 3)))
-                new = [(x[0] + y[0], sorted({*(x[1] or []), *y[1]}), max(x[2], y[2])) for x, y in zip(before, found)]
-                cols = [pa.array([v[k] for v in new], kind) for k, kind in enumerate((pa.int64(), pa.list_(pa.int64()), pa.float64()))]
-                yield pa.RecordBatch.from_arrays([b.column(k) for k in range(len(columns))] + cols, [*columns, "__n", "__items", "__best"])
-
-        out = out.mapInArrow(run, f"{keep}, __n long, __items array<long>, __best double")
+                cols = [pa.array([v[k] for v in found], kind) for k, kind in enumerate((pa.int64(), pa.list_(pa.int64()), pa.float64()))]
+                out = pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in columns] + cols, [*columns, "__n", "__items", "__best"])
+                yield out.filter(pa.array([v[0] > 0 for v in found], pa.bool_())) if hits_only else out
+
+        return rows.mapInArrow(run, f"{keep}, __n long, __items array<long>, __best double")
+
+    columns = [c for c in dict.fromkeys(("doc_id", *extra))]
+    if n == 1:
+        out = judged(docs.select(*dict.fromkeys(("text", *columns))), columns, index_of(0), False)
+    else:
+        # equal texts have equal results: what is found goes by a hash of the text
+        marks = {"__h1": F.xxhash64("text"), "__h2": F.xxhash64(F.lit(1), "text")}
+        texts, hits = docs.filter("text is not null").select("text").withColumns(marks), None
+        for k in range(n):
+            sent = index_of(k)
+            own = materialise(judged(texts, list(marks), sent, True).distinct(), "leaks")
+            sent.destroy()
+            hits = own if hits is None else hits.unionByName(own)
+        hits = hits.groupBy(*marks).agg(F.sum("__n").alias("__n"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"), F.max("__best").alias("__best"))
+        out = docs.select(*dict.fromkeys(("text", *columns))).withColumns(marks).join(hits.hint("merge"), list(marks), "left")
+        out = out.withColumns({"__n": F.coalesce("__n", F.lit(0)), "__items": F.coalesce("__items", F.array().cast("array<long>")), "__best": F.coalesce("__best", F.lit(0.0))})
     return out.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.size("__items") > 0).alias("contaminated"), F.col("__n").alias("n_retrieved"),
-        F.col("__items").alias("items"), F.col("__best").alias("overlap"), *[c for c in extra if c != "doc_id"],
+        F.col("doc_id").cast("long").alias("doc_id"), (F.size("__items") > 0).alias("contaminated"), F.col("__n").cast("long").alias("n_retrieved"),
+        F.sort_array(F.array_distinct("__items")).alias("items"), F.col("__best").alias("overlap"), *[c for c in extra if c != "doc_id"],
     )

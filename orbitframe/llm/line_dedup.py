@@ -1,20 +1,22 @@
 """Line dedup: equal lines, and lines within an edit distance, by a segment-partition join.
 
-A line (between line feeds, without spaces at its ends) of at least `LEAST` code points goes if an
-equal one, or one within `EDITS` insertions, deletions and substitutions, comes earlier, that is at
-a smaller (doc_id, line number).  Shorter lines stay.
+A line (between line feeds, without spaces at its ends) goes if an equal one comes earlier, that is
+at a smaller (doc_id, line number).  One of at least `least` code points also goes if one within
+EDITS insertions, deletions and substitutions comes earlier.  Lines of white space stay.
 
 Equal lines become one class.  A class's line of length l is split into EDITS + 1 segments, filed
 under (l, number, segment).  Each line probes the lengths l from EDITS below its own to its own
 with just those substrings that a segment can meet (the multi-match-aware ranges), so two lines
-within the distance share a key.  Pairs whose letter counts differ too much are dropped within the
-join; the others are verified by a bit-parallel automaton that keeps, for each number of edits, the
-band of 2 * EDITS + 1 diagonals in the bits of an integer.
+within the distance share a key.  Keys that very many lines share are found in a sample of the lines
+and dealt to several tasks; what is compared stays the same.  Pairs whose letter counts differ too
+much are dropped within the join; the others are verified by a bit-parallel automaton that keeps,
+for each number of edits, the band of 2 * EDITS + 1 diagonals in the bits of an integer.
 
 Everything is DataFrame operations.  Defined results: a null text is empty, and has one empty line;
-rows that are equal in doc_id and text are one document, whose lines are judged once; a row without
-an id loses nothing and removes nothing; an empty table gives an empty one; other columns, whatever
-their names, are ignored.
+rows that are equal in doc_id and text are one document, whose lines are judged once; rows that
+share a doc_id but not the text are in the order of a hash of the text; a row without an id loses
+nothing and removes nothing; a long line is whole, at 4 bytes a code point; an empty table gives an
+empty one; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -24,14 +26,20 @@ from pyspark.sql import functions as F
 
 from orbitframe.functions.columns import once
 
-from ._store import materialise, tidy
+from ._store import materialise
 
 EDITS = 2
+#: Code points of lines that are compared with others that aren't equal.
 LEAST = 20
+#: Lines of one key that one task compares; keys with more are looked for in one of SAMPLED lines.
+CROWD, SAMPLED = 4096, 64
 #: Letters that are counted, one count in each byte of a signature.
 LETTERS = "etnoiars"
 
 
+BLANK = " \t\r\x0b\x0c"
+
+
 def lines_of(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda x: F.trim(x))
 
@@ -120,19 +128,36 @@ def within(a: Column, b: Column) -> Column:
     return once(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y")), verdict)
 
 
+def crowded(index: DataFrame) -> list[tuple[int, int]]:
+    """Keys of the index (a, key) that over CROWD lines or so share, and among how many tasks to deal each: at most 10,000, the largest."""
+    some = index.filter(F.pmod(F.xxhash64("a"), F.lit(SAMPLED)) == 0).groupBy("key").agg(F.count("*").alias("n"))
+    large = some.filter(F.col("n") >= CROWD // SAMPLED).orderBy(F.desc("n"), "key").limit(10_000)
+    return [(r.key, -(-r.n * SAMPLED // CROWD)) for r in large.collect()]
+
+
 def near_classes(classes: DataFrame) -> DataFrame:
     """Of classes (id, first, line, n, sig), the ids that have an earlier line within the distance."""
     # four bytes a code point: parts of a line are then found without counting from its beginning
     wide, n = F.encode("line", "UTF-32"), F.col("n")
     index = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), n.alias("n_a"), F.explode(once(wide, lambda w: index_keys(w, n))).alias("key"))
     probe = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), n.alias("n_b"), F.explode(once(wide, lambda w: probe_keys(w, n))).alias("key"))
+    on = ["key"]
+    large = crowded(index.select("a", "key"))
+    if large:
+        ways = F.broadcast(classes.sparkSession.createDataFrame(large, "key long, ways int"))
+        deal = F.coalesce(F.pmod(F.xxhash64("a"), "ways"), F.lit(0)).cast("int")
+        index = index.join(ways, "key", "left").withColumn("way", deal).drop("ways")
+        probe = probe.join(ways, "key", "left").withColumn("way", F.explode(F.sequence(F.lit(0), F.coalesce("ways", F.lit(1)) - 1))).drop("ways")
+        on = ["key", "way"]
+    same = F.lit(True)
+    for c in on:
+        same = same & (index[c] == probe[c])
     # lines of one length meet either way round: one way is enough
     ahead = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
     # a substitution moves two counts, an insertion one, and as many as the lengths differ by are insertions
     alike = apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS - (F.col("n_b") - F.col("n_a"))
-    met = index.join(probe, (index.key == probe.key) & ahead & alike)
+    met = index.join(probe, same & ahead & alike)
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    tidy(classes.sparkSession)
     one = classes.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"))
     two = classes.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("first").alias("first_b"))
     close = pairs.join(one, "a").join(two, "b").filter(within(F.col("line_a"), F.col("line_b")))
@@ -148,19 +173,16 @@ def place() -> Column:
     return ((F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 30).cast("decimal(10,0)") + mark) * F.lit(1 << 32).cast("decimal(10,0)") + F.col("pos")).cast("decimal(38,0)")
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, mark (a hash of the text) and gone, the numbers (from 0) of the lines that go, ascending."""
-    spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    long = rows.filter(F.length("line") >= LEAST).withColumn("place", place())
-    classes = long.groupBy("line").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    full = rows.filter(F.length(F.trim("line", F.lit(BLANK))) > 0).withColumn("place", place())
+    classes = full.groupBy("line").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     classes = materialise(classes.select("line", "first", (F.col("first") != F.col("last")).alias("repeated"), F.length("line").alias("n"), signature(F.col("line")).alias("sig"), F.monotonically_increasing_id().alias("id")), "lines")
-    tidy(spark)
-    near = materialise(near_classes(classes).withColumn("near", F.lit(True)), "near")
-    tidy(spark)
+    near = materialise(near_classes(classes.filter(F.col("n") >= least)).withColumn("near", F.lit(True)), "near")
     hashes = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
     told = classes.join(near, "id", "left").filter("repeated or near").select(*hashes, "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = long.select("doc_id", "mark", "pos", "place", *hashes).join(told, ["h1", "h2"]).filter("near or place <> first")
+    gone = full.select("doc_id", "mark", "pos", "place", *hashes).join(told, ["h1", "h2"]).filter("near or place <> first")
     return gone.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
@@ -175,10 +197,10 @@ def without(lines: Column, gone: Column) -> Column:
     return once(lines, stretches)
 
 
-def drop_lines(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def drop_lines(docs: DataFrame, extra: tuple[str, ...] = (), least: int = LEAST) -> DataFrame:
     """doc_id, n_lines, n_removed and kept (the text without the lines that go) for each row of docs; and its columns `extra`."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"__{c}") for c in extra])
-    gone = removed_lines(rows.select("doc_id", "text").filter("doc_id is not null"))
+    gone = removed_lines(rows.select("doc_id", "text").filter("doc_id is not null"), least)
     rows = rows.withColumn("mark", F.xxhash64("text")).join(gone, ["doc_id", "mark"], "left")
     lines, whole = F.split("text", "\n"), F.col("gone").isNull()
     return rows.select(

@@ -1,40 +1,49 @@
 """Lexical retrieval packing.
 
-A window begins with a seed, the unused document of the smallest id (or what is left of the one cut
-last); the unused documents, ranked by BM25 with the seed's terms as the query, fill the window
-greedily in that order.  The one that doesn't fit is cut, and its rest begins the next window, so
-windows are full.  The last window is cut into windows whose sizes are powers of two, which need no
-padding.
-
-Every unused document of the corpus is ranked for every seed.  Up to `shard_docs` documents are
-packed by one task.  Beyond, the index lies in shards of that many documents, with the document
-frequencies and the mean length of the whole corpus, and windows are filled in rounds: each of many
-open windows sends its seed's terms to all shards, which give their best unused documents; the
-merged lists are taken in the order of the windows, so that each document taken is the best of all
-then unused.  A window whose list runs out before it is full asks again in the next round.  When no
-document is unused, what the open windows hold is joined.  Weights are whole multiples of 1/64, so
-that sums don't depend on their order.  The work grows with the square of the corpus.
+A window begins with a seed, an unused document (or what is left of the one cut last); the unused
+documents, ranked by BM25 with the seed's terms as the query, fill the window greedily in that order.
+The one that doesn't fit is cut, and its rest begins the next window, so windows are full.  A shard's
+last window is cut into windows whose sizes are powers of two, which need no padding.
+
+The inverted index lies in shards of alike documents, and a seed asks its own shard.  What a shard
+holds is settled by the documents' terms: a tree of two-means cuts over vectors of weighted terms,
+fitted on SAMPLE documents at most, sorts documents into leaves; within a leaf they are ordered by a
+minhash of their runs of tokens, so that near copies lie together, and then by a hash.  That order
+is cut into shards of about SHARD_TOKENS tokens or SHARD_DOCS documents, at places found in a sample
+that grows with the input.  Copies of one text, however many, are cut into shards like all else.
+Terms' document frequencies and the mean length are those of the whole corpus.  The work grows in
+proportion to the corpus; what a seed's shard lacks of its best neighbours in the whole corpus is
+measured in README.
 
 A document is its token ids and then the end id.  Defined results: a null or empty text is the end
 id alone; repeated rows are packed one by one; rows with a null id are packed like others; equal
-scores go by id; an empty table gives an empty one; other columns are ignored.
+scores go by the order in the shard; a document longer than a shard is a shard of its own, one
+task's; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
-from array import array
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialise, release, tidy
-from ._text import batches
+from ._store import materialise
+from ._text import U, batches, low, mix
 from .tokens import encoder
 
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SHARD_TOKENS, SHARD_DOCS = 2_000_000, 8192
+#: Documents that the tree is fitted on, its greatest depth, and the length of vectors.
+SAMPLE, DEPTH, WIDTH = 4096, 10, 4096
+#: Parts that shards are dealt to at most, and sampled documents for each.
+PARTS, CUT_SAMPLE = 20_000, 64
+#: Tokens of the runs that the minhash is taken of.
+RUN = 4
 
 
 class Bm25:
@@ -44,17 +53,18 @@ class Bm25:
     postings: adding rows takes less than scattering as many postings.
     """
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray | None = None, mean: float | None = None):
+        """idf (by token id) and mean (length) are those of these documents unless given."""
         n = self.n = len(docs)
         sizes = np.array([len(d) for d in docs])
         key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), sizes), return_counts=True)
         term, self.doc = key // n, key % n
-        _, begin, df = np.unique(term, return_index=True, return_counts=True)
+        names, begin, df = np.unique(term, return_index=True, return_counts=True)
         self.begin = np.concatenate([begin, [len(key)]])
-        idf = np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))  # terms of half the documents say nothing
-        norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean()))
-        self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.useful = idf > 0
+        own = weights_of(n, df) if idf is None else idf[names]
+        norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean() if mean is None else mean))
+        self.weight = np.repeat(own, df) * tf * (K1 + 1) / (tf + norm[self.doc])
+        self.useful = own > 0
         wide = np.flatnonzero(self.useful & (df * 8 >= n))
         self.row = np.full(len(df), -1)
         self.row[wide] = np.arange(len(wide))
@@ -81,14 +91,32 @@ class Bm25:
         return out
 
 
-def pack(docs: list[np.ndarray], size: int) -> list[list[tuple[int, int, int]]]:
+def weights_of(n: int, df: np.ndarray) -> np.ndarray:
+    """Terms' weights from the number of documents that hold them; those of half the documents say nothing."""
+    return np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))
+
+
+def ranking(score: np.ndarray, used: np.ndarray) -> Iterator[int]:
+    """Unused documents, best first, equal ones by their place; the first few are sorted out on their own."""
+    left = np.flatnonzero(~used)
+    own = score[left]
+    if len(left) > 256:
+        least = np.partition(own, len(own) - 64)[len(own) - 64]
+        head = left[own >= least]
+        yield from head[np.argsort(-score[head], kind="stable")].tolist()
+        left = left[own < least]
+        own = score[left]
+    yield from left[np.argsort(-own, kind="stable")].tolist()
+
+
+def pack(docs: list[np.ndarray], size: int, idf: np.ndarray | None = None, mean: float | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of (document, start, length); all are full but the last ones, which are powers of two."""
     if not docs:
         return []
-    index = Bm25(docs)
+    index = Bm25(docs, idf, mean)
     used = np.zeros(len(docs), dtype=bool)
     windows, now, room = [], [], size
-    next_seed, ranking = 0, iter(())
+    next_seed, ranked = 0, None
 
     def unused():
         nonlocal next_seed
@@ -96,33 +124,24 @@ def pack(docs: list[np.ndarray], size: int) -> list[list[tuple[int, int, int]]]:
             next_seed += 1
         return next_seed if next_seed < len(docs) else None
 
-    def place(d, start):
-        """Fill the window with document d from start; what doesn't fit begins further windows."""
-        nonlocal now, room, ranking
-        while start < len(docs[d]):
-            if room == size:
-                ranking = None
+    while True:
+        if room == size:
+            d, ranked = unused(), None
+        else:
+            if ranked is None:  # the window has a seed and no ranking yet
+                ranked = ranking(index.scores(now[0][0]), used)
+            d = next((x for x in ranked if not used[x]), None)
+        if d is None:
+            break
+        used[d], start = True, 0
+        while start < len(docs[d]):  # what doesn't fit begins further windows
             n = min(room, len(docs[d]) - start)
             now.append((d, start, n))
             room -= n
             start += n
             if room == 0:
                 windows.append(now)
-                now, room = [], size
-
-    while True:
-        if room == size:
-            d = unused()
-        else:
-            if ranking is None:  # the window has a seed and no ranking yet
-                score = index.scores(now[0][0])
-                left = np.flatnonzero(~used)
-                ranking = iter(left[np.argsort(-score[left], kind="stable")].tolist())
-            d = next(ranking, None)
-        if d is None:
-            break
-        used[d] = True
-        place(d, 0)
+                now, room, ranked = [], size, None
     if now:
         windows += in_powers(now)
     return windows
@@ -147,201 +166,111 @@ def in_powers(window: list[tuple[int, int, int]]) -> list[list[tuple[int, int, i
     return out
 
 
-class Shard:
-    """The postings of some documents, with weights from counts of the whole corpus."""
+# --- the order of documents -----------------------------------------------------------------------
 
-    FIELDS = "rows binary, terms binary, begin binary, doc binary, weight binary, own_terms binary, own_begin binary"
-    KINDS = (np.int64, np.int32, np.int64, np.int32, np.float32, np.int32, np.int64)
 
-    def __init__(self, *arrays):
-        self.rows, self.terms, self.begin, self.doc, self.weight, self.own_terms, self.own_begin = arrays
-
-    @classmethod
-    def of(cls, rows: np.ndarray, docs: list[np.ndarray], idf: np.ndarray, mean: float) -> Shard:
-        n, sizes = len(docs), np.array([len(d) for d in docs])
-        key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), sizes), return_counts=True)
-        term, doc = key // n, key % n
-        norm = K1 * (1 - B + B * sizes / max(1.0, mean))
-        weight = np.rint(idf[term] * tf * (K1 + 1) / (tf + norm[doc]) * STEPS)
-        some = weight > 0
-        term, doc, weight = term[some], doc[some], weight[some]
-        terms, begin = np.unique(term, return_index=True)
-        order = np.argsort(doc, kind="stable")
-        return cls(rows, terms, np.append(begin, len(term)), doc, weight, term[order], np.searchsorted(doc[order], np.arange(n + 1)))
-
-    def packed(self) -> list[bytes]:
-        arrays = (self.rows, self.terms, self.begin, self.doc, self.weight, self.own_terms, self.own_begin)
-        return [np.asarray(a, dtype=k).tobytes() for a, k in zip(arrays, self.KINDS)]
-
-    @classmethod
-    def read(cls, parts: list[bytes]) -> Shard:
-        return cls(*[np.frombuffer(p, k) for p, k in zip(parts, cls.KINDS)])
-
-    def best(self, terms: np.ndarray, begin: np.ndarray, free: np.ndarray, k: int) -> np.ndarray:
-        """For each query the keys (score, then the smaller row) of the k best documents among the places `free`."""
-        n, place = len(self.rows), np.full(int(max(terms.max(initial=0), self.terms.max(initial=0))) + 1, -1)
-        place[self.terms] = np.arange(len(self.terms))
-        df = np.diff(self.begin)
-        wide = np.flatnonzero(df * 16 >= n)
-        number = np.full(len(df) + 1, -1)
-        number[wide] = np.arange(len(wide))
-        dense = np.zeros((len(wide), n), dtype=np.float32)
-        for r, t in enumerate(wide):
-            at = slice(self.begin[t], self.begin[t + 1])
-            dense[r, self.doc[at]] = self.weight[at]
-        dense, low = dense[:, free], LAST - self.rows[free]
-        out = np.full((len(begin) - 1, k), -1, dtype=np.int64)
-        for first in range(0, len(out), 128):
-            last = min(first + 128, len(out))
-            t = place[terms[begin[first] : begin[last]]]
-            q = np.repeat(np.arange(last - first), np.diff(begin[first : last + 1]))
-            q, t = q[t >= 0], t[t >= 0]
-            broad = number[t] >= 0
-            asked = np.zeros((last - first, len(wide)), dtype=np.float32)
-            asked[q[broad], number[t[broad]]] = 1
-            score = (asked @ dense).astype(np.int64)  # whole numbers under 2 ** 24: exact
-            q, t = q[~broad], t[~broad]
-            size = df[t]
-            if size.sum():
-                total = np.cumsum(size)
-                at = np.arange(total[-1]) + np.repeat(self.begin[t] - (total - size), size)
-                more = np.bincount(np.repeat(q, size) * n + self.doc[at], weights=self.weight[at], minlength=(last - first) * n)
-                score += more.reshape(last - first, n)[:, free].astype(np.int64)
-            out[first:last, : min(k, len(free))] = top((score << BITS) + low, k)
-        return out
+def ids_of(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if width == 2 else np.uint32)
 
 
-#: Parts of a whole that weights are counted in; and keys of scores and rows in one number.
-STEPS, BITS = 64, 34
-LAST = (1 << BITS) - 1
-#: Documents that a shard names for a seed at first, and keys that a task may hold for a round.
-NAMED, HELD = 64, 1 << 20
+def vectors(docs: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors of the documents' terms: document, place and value of what isn't 0."""
+    sizes = np.array([len(d) for d in docs])
+    key = np.unique(np.concatenate(docs).astype(np.int64) + np.repeat(np.arange(len(docs)) * len(idf), sizes))
+    doc, term = key // len(idf), key % len(idf)
+    value = idf[term]
+    norm = np.sqrt(np.bincount(doc, weights=value**2, minlength=len(docs)))
+    return doc, (mix(term.astype(U)) % U(WIDTH)).astype(np.int64), value / np.maximum(norm, 1e-9)[doc]
 
 
-def top(keys: np.ndarray, k: int) -> np.ndarray:
-    """The k greatest of each row, in any order."""
-    return keys if keys.shape[1] <= k else np.partition(keys, keys.shape[1] - k, axis=1)[:, -k:]
+@dataclass
+class Tree:
+    """Cuts of a full binary tree, from the top: a document goes right where way @ vector is cut or more."""
 
+    depth: int
+    way: np.ndarray
+    cut: np.ndarray
 
-def fill(lengths: np.ndarray, size: int, chains: int, rank, emit) -> None:
-    """Give emit the pieces (document, start, length) of each window.
+    @classmethod
+    def fit(cls, x: np.ndarray, depth: int) -> Tree:
+        """Each node cuts its documents in half along the line between two means of them."""
+        way, cut = np.zeros((max(1, (1 << depth) - 1), WIDTH), dtype=np.float32), np.zeros(max(1, (1 << depth) - 1), dtype=np.float32)
+        held = [np.arange(len(x))]
+        for node in range((1 << depth) - 1):
+            rows = held[node]
+            own = x[rows]
+            if len(rows) > 1:
+                far = int(np.argmin(own @ own.mean(0)))  # the one least like the others, and the one least like it
+                one, two = own[far], own[int(np.argmin(own @ own[far]))]
+                for _ in range(4):
+                    right = own @ (two - one) > 0
+                    if right.all() or not right.any():
+                        break
+                    one, two = own[~right].mean(0), own[right].mean(0)
+                way[node] = two - one
+            side = own @ way[node]
+            cut[node] = np.median(side) if len(rows) else 0
+            held += [rows[side < cut[node]], rows[side >= cut[node]]]
+        return cls(depth, way, cut)
+
+    def leaves(self, doc: np.ndarray, place: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+        """The number of the leaf of each of n documents given by their vectors."""
+        node = np.zeros(n, dtype=np.int64)
+        for _ in range(self.depth):
+            side = np.bincount(doc, weights=self.way[node[doc], place] * value, minlength=n).astype(np.float32)
+            node = 2 * node + 1 + (side >= self.cut[node])
+        return node - ((1 << self.depth) - 1)
+
+
+def sketches(docs: list[np.ndarray]) -> np.ndarray:
+    """20 bits of a minhash of each document's runs of RUN tokens."""
+    flat = np.concatenate(docs).astype(U)
+    h = mix(flat + U(1))
+    run = h.copy()
+    for k in range(1, RUN):  # runs over the end of a document are of it and the next one: those don't count
+        run[: max(0, len(run) - k)] = mix(run[: max(0, len(run) - k)] * U(3) + h[k:])
+    sizes = np.array([len(d) for d in docs])
+    end = np.cumsum(sizes)
+    left = np.repeat(end, sizes) - np.arange(len(flat))
+    run[(left < RUN) & (np.repeat(sizes, sizes) >= RUN)] = ~U(0)
+    return mix(np.minimum.reduceat(run, end - sizes)) >> U(44)
+
+
+def keys(tree: Tree, docs: list[np.ndarray], ids: list, idf: np.ndarray) -> np.ndarray:
+    """The documents' places in the order: leaf, sketch, and a hash of id and tokens."""
+    leaf = tree.leaves(*vectors(docs, idf), len(docs))
+    salt = np.array([zlib.crc32(d.tobytes(), zlib.crc32(str(i).encode())) for d, i in zip(docs, ids)], dtype=U)
+    # rows that are wholly equal are told apart by their number here, so that they can be cut apart too
+    salt = mix(salt * U(0x9E3779B97F4A7C15) + np.arange(len(docs), dtype=U) * repeated(docs, ids)) >> U(32)
+    return ((leaf.astype(U) << U(52)) | (sketches(docs) << U(32)) | salt).astype(np.int64)
+
+
+def repeated(docs: list[np.ndarray], ids: list) -> np.ndarray:
+    """1 for each row that equals another one here, else 0."""
+    seen: dict = {}
+    for k, (d, i) in enumerate(zip(docs, ids)):
+        seen.setdefault((i, d.tobytes() if len(d) < 64 else zlib.crc32(d.tobytes()), len(d)), []).append(k)
+    out = np.zeros(len(docs), dtype=U)
+    for rows in seen.values():
+        if len(rows) > 1:
+            out[rows] = 1
+    return out
 
-    rank(seeds, used, k): for each seed at least k unused documents (or all), best first.  `chains`
-    windows are open at once.
-    """
-    used, next_seed, named = np.zeros(len(lengths), dtype=bool), 0, NAMED
-    opened: list[list] = [[] for _ in range(chains)]
-    rooms = [size] * chains
-
-    def place(c, d) -> bool:
-        """Put document d into window c, and on; whether the window became full."""
-        start, full, used[d] = 0, False, True
-        while start < lengths[d]:
-            n = min(rooms[c], int(lengths[d]) - start)
-            opened[c].append((d, start, n))
-            rooms[c] -= n
-            start += n
-            if rooms[c] == 0:
-                emit(opened[c])
-                opened[c], rooms[c], full = [], size, True
-        return full
 
-    while True:
-        for c in range(chains):
-            while not opened[c] and next_seed < len(lengths):
-                if not used[next_seed]:
-                    place(c, next_seed)
-                next_seed += 1
-        waiting = [c for c in range(chains) if opened[c]]
-        if not waiting or used.all():
-            break
-        starved = 0
-        for c, ranked in zip(waiting, rank([opened[c][0][0] for c in waiting], used, named)):
-            starved += not any(place(c, d) for d in ranked.tolist() if not used[d])
-        named = min(named * 2, max(NAMED, HELD // len(waiting))) if starved * 2 > len(waiting) else max(NAMED, named // 2)
-    now, room = [], size
-    for d, start, n in (p for pieces in opened for p in pieces):
-        while n:
-            take = min(room, n)
-            now.append((d, start, take))
-            start, n, room = start + take, n - take, room - take
-            if not room:
-                emit(now)
-                now, room = [], size
-    for window in in_powers(now):
-        emit(window)
+def share(n: int) -> float:
+    """The part of a shard that a document of n tokens is."""
+    return max(n / SHARD_TOKENS, 1 / SHARD_DOCS)
 
 
-def ids_of(data: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint16 if width == 2 else np.uint32)
+# --- the job --------------------------------------------------------------------------------------
 
 
-def ranker(index: DataFrame):
-    """The function rank of fill, over an index of shards."""
-    spark = index.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def rank(seeds, used, k):
-        wanted = spark.sparkContext.broadcast(np.sort(np.array(seeds, dtype=np.int64)))
-
-        def own(it):
-            import pyarrow as pa
-
-            for b in it:
-                for rows, terms, begin in zip(*(b.column(c).to_pylist() for c in range(3))):
-                    rows, terms, begin = np.frombuffer(rows, np.int64), np.frombuffer(terms, np.int32), np.frombuffer(begin, np.int64)
-                    at = np.flatnonzero(np.isin(rows, wanted.value))
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[at]), pa.array([terms[begin[d] : begin[d + 1]].tobytes() for d in at], pa.binary())], ["row", "terms"])
-
-        got = index.select("rows", "own_terms", "own_begin").mapInArrow(own, "row long, terms binary").toArrow()
-        own_terms = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
-        terms = [np.frombuffer(own_terms[d], np.int32) for d in seeds]
-        begin = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        sent = spark.sparkContext.broadcast((np.concatenate(terms), begin, np.packbits(used)))
-
-        def score(it):
-            import pyarrow as pa
-
-            terms, begin, bits = sent.value
-            best = None
-            for b in it:
-                for parts in zip(*(b.column(c).to_pylist() for c in range(len(Shard.KINDS)))):
-                    shard = Shard.read(parts)
-                    free = np.flatnonzero((bits[shard.rows >> 3] >> (7 - (shard.rows & 7)).astype(np.uint8)) & 1 == 0)
-                    if len(free):
-                        keys = shard.best(terms, begin, free, k)
-                        best = keys if best is None else top(np.concatenate([best, keys], axis=1), k)
-            if best is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(best))), pa.array([x[x >= 0].tobytes() for x in best], pa.binary())], ["seed", "keys"])
-
-        def merged(it):
-            import pyarrow as pa
-
-            have: dict[int, list] = {}
-            for b in it:
-                for seed, keys in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    have.setdefault(seed, []).append(np.frombuffer(keys, np.int64))
-            best = {s: LAST - (np.sort(np.concatenate(x))[::-1][:k] & LAST) for s, x in have.items()}
-            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array([x.tobytes() for x in best.values()], pa.binary())], ["seed", "rows"])
-
-        lists = index.mapInArrow(score, "seed long, keys binary").repartition(parts, "seed").mapInArrow(merged, "seed long, rows binary").toArrow()
-        wanted.destroy()
-        sent.destroy()
-        out = dict(zip(lists.column(0).to_pylist(), lists.column(1).to_pylist()))
-        return [np.frombuffer(out[c], np.int64) for c in range(len(seeds))]
-
-    return rank
-
-
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, shard_docs: int = 4096, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, with_ids: bool = False) -> DataFrame:
     """A row for each piece, with the columns of PIECES; with_ids adds ids, its token ids.
 
-    tokenizer: the path of a tokenizers file, the same on all machines.  shard_docs: documents in a
-    shard of the index, which changes no candidates.
+    tokenizer: the path of a tokenizers file, the same on all machines.
     """
     spark = docs.sparkSession
-    schema = PIECES + ", ids array<long>" * with_ids
-    names = [x.split()[0] for x in PIECES.split(", ")] + ["ids"] * with_ids
 
     def tokens(it):
         import pyarrow as pa
@@ -351,48 +280,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
             data = [np.append(x, x.dtype.type(end_id)) for x in own.encode([r[0] for r in part])]
             yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in part], pa.int64()), pa.array([x.tobytes() for x in data], pa.binary()), pa.array([x.itemsize for x in data], pa.int32()), pa.array([len(x) for x in data], pa.int64())], ["doc_id", "data", "width", "n"])
 
-    def table(columns):
-        import pyarrow as pa
-
-        made = [pa.array(c, pa.int64()) for c in columns[:7]] + [pa.array(columns[7], pa.list_(pa.int64()))] * with_ids
-        return pa.RecordBatch.from_arrays(made, names)
-
-    def cut(ids, start, length):
-        own = ids[start : start + length].astype("<u4")
-        return zlib.crc32(own.tobytes()), own if with_ids else None
-
-    rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).orderBy("doc_id", "text")
-    made = rows.mapInArrow(tokens, "doc_id long, data binary, width int, n long").withColumn("at", F.monotonically_increasing_id())
-    made = materialise(made, "tokens")  # at: the number of the partition, then of the row in it
-    part = F.shiftright("at", 33).cast("int")
-    counts = {r.part: r.n for r in made.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    offsets = np.concatenate([[0], np.cumsum([counts.get(p, 0) for p in range(max(counts, default=0) + 1)])])
-    total = int(offsets[-1])
-
-    if total <= shard_docs:
-
-        def whole(it):
-            rows = [r for b in it for r in zip(*(b.column(k).to_pylist() for k in range(3)))]
-            if not rows:
-                return
-            docs, cols = [ids_of(r[1], r[2]) for r in rows], [[] for _ in range(8)]
-            for k, window in enumerate(pack(docs, size)):
-                offset = 0
-                for d, start, length in window:
-                    crc, ids = cut(docs[d], start, length)
-                    for c, v in zip(cols, (rows[d][0], start, length, crc, len(docs[d]), k, offset, ids)):
-                        c.append(v)
-                    offset += length
-            yield table(cols)
-
-        return made.repartition(1).sortWithinPartitions("at").select("doc_id", "data", "width").mapInArrow(whole, schema)
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    row = F.get(F.lit([int(x) for x in offsets]), part) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    known = made.select(row.alias("row"), "n").toArrow()
-    lengths = np.zeros(total, dtype=np.int32)
-    lengths[known.column(0).to_numpy()] = known.column(1).to_numpy()
-    del known
+    made = docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(tokens, "doc_id long, data binary, width int, n long")
+    made = materialise(made, "tokens")
 
     def term_counts(it):
         import pyarrow as pa
@@ -406,74 +295,89 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(df[some], pa.int64())], ["term", "df"])
 
+    # a row for each entry of the vocabulary
     seen = made.select("data", "width").mapInArrow(term_counts, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    idf = np.zeros(int(seen.column(0).to_numpy().max()) + 1)
-    df = seen.column(1).to_numpy()
-    idf[seen.column(0).to_numpy()] = np.maximum(0, np.log((total - df + 0.5) / (df + 0.5)))  # terms of half the documents say nothing
-    sent, mean = spark.sparkContext.broadcast(idf), float(lengths.mean())
+    whole = made.agg(F.count("*"), F.sum("n"), F.sum(F.greatest(F.col("n") / SHARD_TOKENS, F.lit(1 / SHARD_DOCS)))).first()
+    total, mean = whole[0], (whole[1] or 0) / max(1, whole[0])
+    idf = np.zeros(int(max([0, *seen.column(0).to_pylist()])) + 1)
+    idf[seen.column(0).to_numpy()] = weights_of(total, seen.column(1).to_numpy())
+    parts = int(min(PARTS, np.ceil(whole[2] or 1)))
 
-    def indexed(it):
-        import pyarrow as pa
+    def sampled(most: int) -> DataFrame:
+        """Rows chosen by a hash, about `most` of them."""
+        return made.filter(F.xxhash64("doc_id", "data") <= F.lit(low(most / max(1, total))))
 
-        def done(rows):
-            shard = Shard.of(np.array([r[0] for r in rows]), [ids_of(r[1], r[2]) for r in rows], sent.value, mean)
-            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in shard.packed()], [x.split()[0] for x in Shard.FIELDS.split(", ")])
+    def flat(it):
+        import pyarrow as pa
 
-        now, rows = None, []
         for b in it:
-            for shard, *r in zip(*(b.column(k).to_pylist() for k in range(4))):
-                if shard != now and rows:
-                    yield done(rows)
-                    rows = []
-                now = shard
-                rows.append(r)
-        if rows:
-            yield done(rows)
+            rows = [ids_of(d, w) for d, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            if rows:
+                doc, place, value = vectors(rows, idf)
+                x = np.zeros((len(rows), WIDTH), dtype=np.float32)
+                np.add.at(x, (doc, place), value)
+                yield pa.RecordBatch.from_arrays([pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary())], ["x"])
+
+    depth = int(min(DEPTH, np.ceil(np.log2(parts)), max(0, np.log2(max(1, min(total, SAMPLE)) / 4))))
+    tree = Tree(0, np.zeros((1, WIDTH), np.float32), np.zeros(1, np.float32))
+    cuts = np.zeros(0, dtype=np.int64)
+    if parts > 1:
+        x = sampled(SAMPLE).select("data", "width").limit(2 * SAMPLE).mapInArrow(flat, "x binary").toArrow().column(0).to_pylist()  # 8 KB each
+        tree = Tree.fit(np.array([np.frombuffer(v, np.float16) for v in sorted(x)], dtype=np.float32), depth)
+
+    sent = spark.sparkContext.broadcast((tree, idf))
+
+    def ordered(it):
+        """Rows with their key and, from the cuts, their part."""
+        import pyarrow as pa
 
-    dealt = made.select(F.floor(row / shard_docs).cast("int").alias("shard"), row.alias("row"), "data", "width").repartition(parts, "shard")
-    index = materialise(dealt.sortWithinPartitions("shard", "row").mapInArrow(indexed, Shard.FIELDS), "index")
-    tidy(spark)
+        for b in it:
+            data = [ids_of(d, w) for d, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            if not data:
+                continue
+            key = keys(sent.value[0], data, b.column(0).to_pylist(), sent.value[1]) if parts > 1 else keys(tree, data, b.column(0).to_pylist(), idf)
+            part = np.searchsorted(cuts, key, side="right")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key, pa.int64()), pa.array(part, pa.int32())], ["doc_id", "data", "width", "n", "key", "part"])
+
+    keyed = "doc_id long, data binary, width int, n long, key long, part int"
+    if parts > 1:
+        some = sampled(CUT_SAMPLE * parts).mapInArrow(ordered, keyed).select("key", F.greatest(F.col("n") / SHARD_TOKENS, F.lit(1 / SHARD_DOCS)).alias("share"))
+        some = some.groupBy("key").agg(F.sum("share").alias("share")).toArrow()  # about CUT_SAMPLE * PARTS rows at most
+        key, weight = some.column(0).to_numpy(), some.column(1).to_numpy()
+        order = np.argsort(key, kind="stable")
+        reach = np.cumsum(weight[order])
+        cuts = np.unique(key[order][np.searchsorted(reach, reach[-1] * np.arange(1, parts) / parts)]) if len(reach) else cuts
 
-    cols = [array("q") for _ in range(5)]
-    packed, windows = [], 0
+    schema = PIECES + ", ids array<long>" * with_ids
+    names = [x.split()[0] for x in PIECES.split(", ")] + ["ids"] * with_ids
 
-    def flush():
+    def packed(it):
         import pyarrow as pa
 
-        d = np.frombuffer(cols[0], np.int64)
-        p = np.searchsorted(offsets, d, side="right") - 1
-        arrays = [(p << 33) + d - offsets[p], *[np.frombuffer(c, np.int64) for c in cols[1:]]]
-        packed.append(materialise(spark.createDataFrame(pa.table([pa.array(a) for a in arrays], ["at", "start", "length", "sequence_id", "offset"])), "pieces"))
-        cols[:] = [array("q") for _ in range(5)]
-
-    def emit(window):
-        nonlocal windows
-        offset = 0
-        for d, start, length in window:
-            for c, v in zip(cols, (d, start, length, windows, offset)):
-                c.append(v)
-            offset += length
-        windows += 1
-        if len(cols[0]) >= 1 << 21:
-            flush()
-
-    chains = int(min(1 << 15, max(1, lengths.sum(dtype=np.int64) // size // 32)))
-    fill(lengths, size, chains, ranker(index), emit)
-    flush()
-    release(index)
-    tidy(spark)
-    pieces = packed[0]
-    for more in packed[1:]:
-        pieces = pieces.unionByName(more)
-
-    def pieced(it):
+        def done(rows, part, shard):
+            data, cols = [ids_of(r[1], r[2]) for r in rows], [[] for _ in range(8)]
+            for k, window in enumerate(pack(data, size, sent.value[1], mean)):
+                offset = 0
+                for d, start, length in window:
+                    ids = data[d][start : start + length].astype("<u4")
+                    row = (rows[d][0], start, length, zlib.crc32(ids.tobytes()), len(data[d]), (part << 40) + (shard << 24) + k, offset, ids if with_ids else None)
+                    for c, v in zip(cols, row):
+                        c.append(v)
+                    offset += length
+            made = [pa.array(c, pa.int64()) for c in cols[:7]] + [pa.array(cols[7], pa.list_(pa.int64()))] * with_ids
+            return pa.RecordBatch.from_arrays(made, names)
+
+        now, shard, rows, full = None, 0, [], 0.0
         for b in it:
-            cols = [[] for _ in range(8)]
-            for doc_id, data, width, n, start, length, sequence, offset in zip(*(b.column(k).to_pylist() for k in range(8))):
-                crc, ids = cut(ids_of(data, width), start, length)
-                for c, v in zip(cols, (doc_id, start, length, crc, n, sequence, offset, ids)):
-                    c.append(v)
-            yield table(cols)
-
-    joined = made.join(pieces.hint("merge"), "at").select("doc_id", "data", "width", "n", "start", "length", "sequence_id", "offset")
-    return joined.mapInArrow(pieced, schema)
+            for doc_id, data, width, n, part in zip(*(b.column(k).to_pylist() for k in range(5))):
+                own = share(n)
+                if rows and (part != now or full + own > 1.25):
+                    yield done(rows, now, shard)
+                    shard, rows, full = shard + 1 if part == now else 0, [], 0.0
+                now, full = part, full + own
+                rows.append((doc_id, data, width))
+        if rows:
+            yield done(rows, now, shard)
+
+    dealt = made.mapInArrow(ordered, keyed).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "key")
+    return dealt.select("doc_id", "data", "width", "n", "part").mapInArrow(packed, schema)

@@ -2,31 +2,36 @@
 
 Base generators (email, ip, card, phone) find spans that are always kept if their own checks hold.
 Further generators with high recall propose more, which may overlap: local phone numbers, social
-security numbers, spelled-out email addresses, and secrets.  Boosted trees look at each one's
-format and the characters around it; those whose calibrated probability reaches their kind's
-threshold are kept, unless they overlap a base span or an earlier kept one.
+security numbers, spelled-out email addresses, bank accounts, long internet addresses, dates of
+birth, and secrets, of any length.  Boosted trees look at each one's format and the characters
+around it; those whose calibrated probability reaches their kind's threshold are kept, unless they
+overlap a base span or an earlier kept one.
 
-The trees are fitted on the driver on `TRAINING` made-up spans, drawn from fixed seeds (the tables
-have no labels for this), through the same feature expressions; a threshold is the least at which
-nine of ten made-up spans of the kind held out are right.
+The tables have no labels for this.  The trees are fitted on the driver on `TRAINING` made-up spans,
+drawn from fixed seeds, that stand in surroundings taken from the documents themselves (at most
+CONTEXTS of them), and on real negatives: candidates from about SAMPLE_DOCS documents that are plain
+runs of letters, at most NEGATIVES of them.  Three fifths of these spans grow the trees, one fifth
+calibrates them, and the last one gives thresholds: the least at which 95 of 100 of a kind are right.
 
 Places are code points, the end exclusive.  Defined results: a null text is empty; a text without
 candidates has counts of 0, the hash of an empty string and an empty list; repeated rows are looked
-at one by one; rows with a null id are too; an empty table gives an empty one; other columns,
-whatever their names, are ignored.
+at one by one; rows with a null id are too; a long text is whole, one task's; an empty table gives
+an empty one; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbitframe.functions.columns import once
 
 from . import boosting
+from ._text import low
 
 # The patterns begin where a run of their characters does and never give back what they took:
 # the same matches as their plain forms, in time proportional to the text.
@@ -40,15 +45,18 @@ BASE = {
 MORE = {
     "local_phone": r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "spelled_email": r"(?<![A-Za-z0-9])[A-Za-z0-9_.]{1,64}\x20?(?:\[at\]|\(at\)|\{at\}|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\[dot\]|\(dot\)|\{dot\}|\x20dot\x20|\.)\x20?[A-Za-z0-9-]{1,63}){1,3}",
-    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_/+-]{16,}+",
+    "spelled_email": r"(?<![A-Za-z0-9_.])[A-Za-z0-9_.]++\x20?(?:\[at\]|\(at\)|\{at\}|(?<=\x20)at\x20)\x20?[A-Za-z0-9-]++(?:\x20?(?:\[dot\]|\(dot\)|\{dot\}|(?<=\x20)dot\x20|\.)\x20?[A-Za-z0-9-]++)++",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]*+:[0-9A-Fa-f]*+:)[0-9A-Fa-f:]{6,}+(?![0-9A-Za-z:.])",
+    "birth": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4})(?![0-9/-])",
+    "secret": r"(?<![A-Za-z0-9_/+-])(?=[0-9_/+-]*+[A-Za-z])[A-Za-z0-9_/+-]{16,}+",
 }
 #: Characters without which a kind has no match.
-NEEDS = {"email": "@", "phone": "+", "spelled_email": "at"}
+NEEDS = {"email": "@", "phone": "+", "spelled_email": "at", "ipv6": ":"}
 KINDS = (*BASE, *MORE)
 AROUND = 32
-TRAINING = 4000
-FEATURES = ("kind", "size", "digits", "letters", "upper", "distinct", "marks", "cue", "assigned", "joined", "switches", "vowels", "brackets", "dot")
+TRAINING, CONTEXTS, SAMPLE_DOCS, NEGATIVES = 6000, 1000, 2000, 500
+FEATURES = ("kind", "size", "digits", "letters", "upper", "distinct", "marks", "cue", "assigned", "joined", "switches", "vowels", "brackets", "dot", "colons", "checked")
 
 
 def proposals(text: Column, kind: str, pattern: str) -> Column:
@@ -95,7 +103,7 @@ def feature_columns(kind: Column, match: Column, before: Column, after: Column)
     def count(pattern: str) -> Column:
         return size - F.length(F.regexp_replace(match, pattern, ""))
 
-    cue = F.regexp_like(F.lower(before), F.lit(r"pass|pwd|token|key|secret|ssn|social|phone|call|tel|mobile|mail|contact|auth|bearer"))
+    cue = F.regexp_like(F.lower(before), F.lit(r"pass|pwd|token|key|secret|ssn|social|phone|call|tel|mobile|mail|contact|auth|bearer|iban|account|konto|born|birth|dob|host|addr"))
     switches = F.size(F.regexp_extract_all(match, F.lit("[0-9]+|[A-Z]+|[a-z]+"), F.lit(0)))
     return {
         "kind": F.coalesce(F.array_position(F.array(*[F.lit(k) for k in MORE]), kind).cast("double"), F.lit(0.0)),
@@ -112,17 +120,32 @@ def feature_columns(kind: Column, match: Column, before: Column, after: Column)
         "vowels": count("[AEIOUaeiou]") / size,
         "brackets": count(r"[\[\](){}]").cast("double"),
         "dot": F.regexp_like(match, F.lit(r"(?i)[^a-z]dot[^a-z]")).cast("double"),
+        "colons": count(":").cast("double"),
+        "checked": F.when(kind == "iban", checked(match)).otherwise(F.lit(False)).cast("double"),
     }
 
 
-def made_up(rng: random.Random) -> tuple[str, str, str, str, int]:
-    """A span of one of the further kinds, with its surroundings and whether it is personal or secret."""
+def checked(match: Column) -> Column:
+    """Whether a bank account's check digits are right."""
+    plain = F.replace(match, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))
+    value = lambda c: F.when(F.ascii(c) > 57, F.ascii(c) - 55).otherwise(F.ascii(c) - 48)
+    digits = F.filter(F.split(turned, ""), lambda c: c != "")
+    return F.aggregate(digits, F.lit(0), lambda a, c: (a * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97) == 1
+
+
+def made_up(rng: random.Random, around: list[str]) -> tuple[str, str, str, str, int]:
+    """A span of one of the further kinds, with surroundings, and whether it is personal or secret."""
     word = lambda: "".join(rng.choice(["th", "er", "an", "en", "de", "la", "on", "re", "st", "ou", "in"]) for _ in range(rng.randint(1, 4)))
     some = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     digit, lower, hexa = "0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
     both = lower + lower.upper() + digit
     kind, good = rng.choice(list(MORE)), rng.randint(0, 1)
     before, after = f"{word()} {word()} ", f" {word()} {word()}."
+    if around:
+        text = rng.choice(around)
+        cut = rng.randint(0, len(text))
+        before, after = text[:cut].rstrip() + " ", " " + text[cut:].lstrip()
     if kind == "local_phone":
         s = rng.choice([" ", "-", "."])
         match = f"{some(digit, 3)}{s}{some(digit, 3)}{s}{some(digit, 4)}" if rng.random() < 0.6 else f"({some(digit, 3)}) {some(digit, 3)}-{some(digit, 4)}"
@@ -141,44 +164,80 @@ def made_up(rng: random.Random) -> tuple[str, str, str, str, int]:
         else:
             tail = [word(), *[word().title() for _ in range(rng.randint(1, 3))]]
             match = f"{rng.choice([word(), word().title()])} at {rng.choice(['. ', '. ', '. ', '.']).join(tail)}"
+    elif kind == "iban":
+        body, land = some(digit, rng.choice([12, 16, 18, 20])), rng.choice(["DE", "FR", "ES", "GB", "NL", "IT"])
+        right = 98 - int(body + "".join(str(ord(c) - 55) for c in land) + "00") % 97
+        match = f"{land}{(right if good else (right + rng.randint(1, 90)) % 97):02d}{body}"
+        if rng.random() < 0.5:
+            match = " ".join(match[k : k + 4] for k in range(0, len(match), 4))
+        before += rng.choice(["IBAN ", "iban: ", "account ", "", ""]) if good else rng.choice(["part ", "no. ", "", ""])
+    elif kind == "ipv6":
+        if good:
+            groups = [some(hexa, rng.randint(1, 4)) for _ in range(8)]
+            match = ":".join(groups) if rng.random() < 0.6 else ":".join(groups[: rng.randint(2, 4)]) + "::" + ":".join(groups[: rng.randint(1, 3)])
+            before += rng.choice(["host ", "addr ", "", "", "from "])
+        else:
+            match = rng.choice([lambda: f"{rng.randint(10, 23)}:{some('012345', 1)}{some(digit, 1)}:{some('012345', 1)}{some(digit, 1)}", lambda: "::::::", lambda: f"{some(digit, 2)}::{some(digit, 2)}", lambda: f"{some(digit, 1)}:{some(digit, 2)}:{some(digit, 2)}"])()
+    elif kind == "birth":
+        y, m, d = rng.randint(1930, 2015), rng.randint(1, 12), rng.randint(1, 28)
+        match = rng.choice([f"{y}-{m:02d}-{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{m}/{d}/{y}"])
+        before += rng.choice(["born ", "born on ", "DOB: ", "date of birth ", "birthday: "]) if good else rng.choice(["on ", "since ", "until ", "of ", "", "", "version "])
     elif good:
-        match = rng.choice([lambda: "AKIA" + some(lower.upper() + digit, 16), lambda: some(hexa, rng.choice([18, 32, 40])), lambda: some(both, rng.randint(20, 44)), lambda: "ghp_" + some(both, 36)])()
-        before += rng.choice(["password=", "token = \"", "key: ", "api_key=", "secret=", "", ""])
+        match = rng.choice([lambda: "AKIA" + some(lower.upper() + digit, 16), lambda: some(hexa, rng.choice([18, 32, 40, 64])), lambda: some(both, rng.randint(20, 44)), lambda: rng.choice(["ghp_", "sk-", "xoxb-", "glpat-"]) + some(both, 36), lambda: some(both, rng.randint(45, 400))])()
+        cue = rng.choice(["password=", 'token = "', "key: ", "api_key=", "secret=", 'token: "', "Bearer ", "", ""])
+        before += cue
+        after = '"' * cue.endswith('"') + after
     else:
-        match = rng.choice([lambda: "".join(word() for _ in range(6))[:60], lambda: "-".join(word() for _ in range(5)), lambda: some(digit, rng.randint(16, 24)), lambda: "_".join(word() for _ in range(5)), lambda: "".join(word() for _ in range(6)).upper()[:50]])()
+        match = rng.choice([lambda: "".join(word() for _ in range(6))[:60], lambda: "-".join(word() for _ in range(5)), lambda: "_".join(word() for _ in range(5)), lambda: "/".join(word() for _ in range(5)), lambda: "".join(word() for _ in range(6)).upper()[:50], lambda: word() + "-" + some(digit, rng.randint(14, 18)), lambda: word() + some("-_/", 1) * rng.randint(14, 300)])()
         match = match if len(match) >= 16 else match + "erthenstoure"[: 16 - len(match)] * 2
     return kind, match, before[-AROUND:], after[:AROUND], good
 
 
-_fitted: dict[int, tuple[boosting.Trees, dict[str, float]]] = {}
-
-
-def fitted(spark: SparkSession, rows: int = TRAINING) -> tuple[boosting.Trees, dict[str, float]]:
-    """The trees, and each further kind's threshold."""
-    if rows not in _fitted:
-        rng = random.Random(17)
-        made = [(i, *made_up(rng)) for i in range(rows)]
-        table = spark.createDataFrame(made, "i int, kind string, match string, before string, after string, good int")
-        cols = feature_columns(F.col("kind"), F.col("match"), F.col("before"), F.col("after"))
-        found = table.select("i", "kind", "good", *[cols[f].cast("double").alias("f_" + f) for f in FEATURES]).orderBy("i").collect()
-        x, y = np.array([r[3:] for r in found], dtype=float), np.array([float(r[2]) for r in found])
-        model = boosting.fit(FEATURES, x, y)
-        held = np.arange(rows) % 4 == 0
-        p, least = boosting.probability(model, x), {}
-        for kind in MORE:
-            own = held & np.array([r[1] == kind for r in found])
-            cuts = [c / 100 for c in range(50, 100) if y[own & (p >= c / 100)].mean() >= 0.9] if own.any() else []
-            least[kind] = cuts[0] if cuts else 0.99
-        _fitted[rows] = model, least
-    return _fitted[rows]
-
-
-def spans(docs: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Model:
+    """The trees, each further kind's threshold, and its precision and recall on the spans that gave it."""
+
+    trees: boosting.Trees
+    least: dict[str, float]
+    quality: dict[str, tuple[float, float]]
+
+
+def learn(docs: DataFrame, rows: int = TRAINING) -> Model:
+    """A model from made-up spans in the documents' surroundings and from their plain runs of letters."""
+    spark, size = docs.sparkSession, 2 * AROUND
+    texts = docs.filter(F.length("text") > size).select("text", F.xxhash64("text").alias("mark"))
+    begin = (F.pmod("mark", F.length("text") - size) + 1).cast("int")
+    windows = texts.select("mark", F.substr("text", begin, F.lit(size)).alias("piece")).dropDuplicates(["piece"]).orderBy("mark", "piece").limit(CONTEXTS)
+    around = [" ".join(r.piece.split()) for r in windows.collect()]
+    n = max(1, docs.count())
+    few = texts.filter(F.col("mark") <= F.lit(low(SAMPLE_DOCS / n)))
+    plain = few.select(F.explode(proposals(F.col("text"), "secret", MORE["secret"])).alias("c")).select("c.*").filter(F.regexp_like("match", F.lit("^[A-Za-z]?[a-z]+$")))
+    plain = plain.select("match", "before", "after").distinct().orderBy(F.xxhash64("match", "before"), "match", "before", "after").limit(NEGATIVES)
+    rng = random.Random(17)
+    made = [made_up(rng, around) for _ in range(rows)] + [("secret", r.match, r.before, r.after, 0) for r in plain.collect()]
+    rng.shuffle(made)
+    table = spark.createDataFrame([(i, *m) for i, m in enumerate(made)], "i int, kind string, match string, before string, after string, good int")
+    cols = feature_columns(F.col("kind"), F.col("match"), F.col("before"), F.col("after"))
+    found = table.select("i", "kind", "good", *[cols[f].cast("double").alias("f_" + f) for f in FEATURES]).orderBy("i").collect()
+    x, y, kinds = np.array([r[3:] for r in found], dtype=float), np.array([float(r[2]) for r in found]), np.array([r[1] for r in found])
+    fifth = np.arange(len(x)) % 5
+    trees = boosting.fit(FEATURES, x, y, grown=fifth < 3, held=fifth == 3)
+    p, least, quality = boosting.probability(trees, x), {}, {}
+    for kind in MORE:
+        own = (fifth == 4) & (kinds == kind)
+        cuts = [c / 100 for c in range(30, 100) if (own & (p >= c / 100)).any() and y[own & (p >= c / 100)].mean() >= 0.95]
+        least[kind] = cuts[0] if cuts else 0.99
+        taken = own & (p >= least[kind])
+        quality[kind] = (float(y[taken].mean()) if taken.any() else 0.0, float(y[taken].sum() / max(1.0, y[own].sum())))
+    return Model(trees, least, quality)
+
+
+def spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """row, doc_id and, for each candidate, kind, match, start, stop, base (kept by its check), probability, kept.
 
     A row without candidates appears once, with nulls.
     """
-    model, least = fitted(docs.sparkSession)
+    model = model or learn(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
     found = [proposals(F.col("text"), kind, p) for kind, p in (BASE | MORE).items()]
@@ -190,8 +249,8 @@ def spans(docs: DataFrame) -> DataFrame:
     further = F.col("kind").isin(*MORE)
     cols = {f: F.col("f_" + f) for f in FEATURES}
     each = each.withColumns({"f_" + f: F.when(further, c.cast("double")) for f, c in feature_columns(F.col("kind"), F.col("match"), F.col("before"), F.col("after")).items()})
-    each = each.withColumn("probability", F.when(further, boosting.column(model, cols))).drop(*["f_" + f for f in FEATURES])
-    cut = F.create_map(*[x for k, v in least.items() for x in (F.lit(k), F.lit(v))])
+    each = each.withColumn("probability", F.when(further, boosting.column(model.trees, cols))).drop(*["f_" + f for f in FEATURES])
+    cut = F.create_map(*[x for k, v in model.least.items() for x in (F.lit(k), F.lit(v))])
     each = each.withColumn("likely", F.coalesce(further & (F.col("probability") >= cut[F.col("kind")]), F.lit(False)))
     w = Window.partitionBy("row").orderBy("start", "stop", "kind")
     past, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
@@ -201,9 +260,9 @@ def spans(docs: DataFrame) -> DataFrame:
     return each.withColumn("kept", F.coalesce(F.col("base") | (F.col("likely") & ~taken & ~soon), F.lit(False)))
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256 and spans, a row for each row of docs."""
-    each = spans(docs)
+def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """A row for each row of docs: doc_id, counts of base spans, base_sha256, spans, and counts of the spans kept besides and of all."""
+    each = spans(docs, model)
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     one = F.struct("start", place.alias("place"), F.concat_ws(":", "kind", "start", "stop").alias("said"))
 
@@ -211,16 +270,17 @@ def find(docs: DataFrame) -> DataFrame:
         return F.array_join(F.transform(F.sort_array(F.collect_list(F.when(which, one))), lambda s: s["said"]), ",")
 
     counts = [F.count_if(F.col("base") & (F.col("kind") == k)).alias(f"n_{k}") for k in BASE]
-    out = each.groupBy("row", "doc_id").agg(*counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("kept")).alias("spans"))
+    more = [F.count_if(F.col("kept") & (F.col("kind") == k)).alias(f"n_{k}") for k in MORE]
+    out = each.groupBy("row", "doc_id").agg(*counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("kept")).alias("spans"), *more, F.count_if("kept").alias("n_spans"))
     return out.drop("row")
 
 
-def redact(docs: DataFrame) -> DataFrame:
+def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id and text with each kept span replaced by its kind in angle brackets (the first, of spans that overlap)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     w = Window.partitionBy("row").orderBy("start", "stop", "kind")
     before = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    each = spans(docs).filter("kept").withColumn("reach", F.coalesce(before, F.lit(0))).filter("start >= reach")
+    each = spans(docs, model).filter("kept").withColumn("reach", F.coalesce(before, F.lit(0))).filter("start >= reach")
     cuts = each.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "reach", "stop", "kind"))).alias("cuts"))
     joined = rows.join(cuts, "row", "left")
     parts = F.transform("cuts", lambda c: F.concat(F.substr("text", (c["reach"] + 1).cast("int"), (c["start"] - c["reach"]).cast("int")), F.lit("<"), c["kind"], F.lit(">")))

@@ -34,9 +34,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = """
 WITH l AS (SELECT doc_id, pos, list_extract(parts, pos) AS raw, trim(list_extract(parts, pos)) AS line FROM
              (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS pos FROM documents)),
-c AS (SELECT line, min(doc_id * 1000000 + pos) AS first FROM l WHERE length(line) >= 20 GROUP BY line),
+c AS (SELECT line, min(doc_id * 1000000 + pos) AS first FROM l WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY line),
 near AS (SELECT DISTINCT b.line FROM c a JOIN c b ON a.first < b.first AND length(a.line) BETWEEN length(b.line) - 2 AND length(b.line) + 2
-           WHERE levenshtein(a.line, b.line) <= 2),
+           WHERE length(a.line) >= 20 AND length(b.line) >= 20 AND levenshtein(a.line, b.line) <= 2),
 j AS (SELECT l.doc_id, l.pos, l.raw, coalesce(c.first <> l.doc_id * 1000000 + l.pos OR near.line IS NOT NULL, false) AS gone
       FROM l LEFT JOIN c ON l.line = c.line LEFT JOIN near ON l.line = near.line)
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
@@ -45,12 +45,10 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .url_filter import judge, place_rule, word_rule
+    from .url_filter import default_rules, judge, place_rule
 
     places = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
-    labels = ["spam-farm", "cheap-pills", "casino", "online-casino", "free-money", "xxx", "adult"]
-    rules = [*(place_rule(a, p) for a, p in places), *(word_rule("block", x) for x in labels)]
-    found = judge(table(spark, sf_dir, "pages"), rules)
+    found = judge(table(spark, sf_dir, "pages"), [*(place_rule(a, p) for a, p in places), *default_rules()])
     return found.select("page_id", "host", "path", F.when(F.col("tier") == 1, F.col("rule")).alias("rule"), "verdict")
 
 
@@ -67,7 +65,8 @@ d AS (SELECT *, CASE
     WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM c)
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN regexp_matches(host, '(^|[.])(spam-farm|cheap-pills|casino|online-casino|free-money|xxx|adult)([.]|$)') THEN 'block'
+    WHEN regexp_matches(host, '(^|[.])([^.]*-)?(ads|adserver|adult|bet|bets|bonus|casino|escort|jackpot|lottery|loans|payday|pharmacy|pills|poker|porn|replica|slots|spam|tracker|viagra|xxx)(-[^.]*)?([.]|$)') THEN 'block'
+    WHEN path LIKE '/wp-admin/%' OR path LIKE '/wp-login.php%' OR path LIKE '/cgi-bin/%' OR path LIKE '/phpmyadmin/%' OR path LIKE '/%.exe' OR path LIKE '/%.apk' THEN 'block'
     ELSE 'allow' END AS verdict FROM d
 """
 

@@ -3,13 +3,15 @@
 Every text is cut into non-overlapping blocks of `block` words; with 2 * block - 1 <= `window`
 every window of `window` words holds a whole block.  All rolling windows of `block` words probe the
 index of those blocks: an anchor is a block that some text has in place and that starts in at
-least two texts.  A repeat of `window` words or more thus has an anchor in each of its texts, and
-around the anchors the full windows are compared; overlapping equal windows make up the maximal
-repeats.  A word goes if it lies in a window that also starts in a text of a smaller doc_id.
+least two texts.  A repeat of `window` words or more thus has an anchor in each of its texts.  Each
+anchor is stretched by a word at a time to either side, as far as a window still holds it, and the
+stretched windows are compared by two independent 64-bit hashes of their words; a run of equal ones
+that follow each other is a maximal repeat, whatever number of texts share it, and no pairs of texts
+are made.  A word goes if it lies in a window that also starts in a text of a smaller doc_id.
 
-Index and probes travel as packed binary rows, dealt out by hash; a block that is in very many
-texts makes many entries of one shard's arrays but no pairs.  Shards grow in number with the text,
-so the memory of a task does not.
+Index, probes and replies travel as packed binary rows, dealt out by hash to shards that grow in
+number with the text, so the memory of a task does not; a block that is in very many texts makes
+many entries of one shard's arrays.
 
 Defined results: a null text is empty; a text of fewer than `window` words loses nothing; rows that
 share a doc_id are parts of one document and remove nothing from each other; a row without an id
@@ -27,19 +29,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialise, release, tidy
-from ._text import U, Words, batches, mix
+from ._store import materialise, release
+from ._text import U, Words, batches, mix, tables
 
 #: Words of text that a shard is sized for.
 SHARD_WORDS = 3_000_000
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    """The low bytes of 64-bit values."""
+    """The low bytes of 64-bit values; width 16: whole pairs of them."""
+    if width == 16:
+        return np.ascontiguousarray(values).tobytes()
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def unpack(data: bytes, width: int) -> np.ndarray:
+    if width == 16:
+        return np.frombuffer(data, U).reshape(-1, 2)
     out = np.zeros((len(data) // width, 8), dtype=np.uint8)
     out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
     return out.reshape(-1).view(U)
@@ -78,7 +84,7 @@ def by_shard(df: DataFrame, parts: int, answer: Callable, width: int, schema: st
                     v = unpack(data, width)
                     i = np.repeat(np.cumsum(np.frombuffer(own, np.int64)), np.frombuffer(counts, np.uint32))
                     if turns > 1:
-                        mine = (v >> U(1)) % U(turns) == U(turn)
+                        mine = ((v if v.ndim == 1 else v[:, 0]) >> U(1)) % U(turns) == U(turn)
                         v, i = v[mine], i[mine]
                     values.append(v)
                     ids.append(i)
@@ -142,11 +148,16 @@ def anchors(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def repeated(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and values of those that a smaller id has too."""
-    order, begin = groups_of(values)
-    least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.concatenate([begin, [len(order)]])))
+    """Ids and first halves of the pairs that a smaller id has too; both halves must be equal."""
+    order, begin = groups_of(values[:, 0])
+    size = np.diff(np.concatenate([begin, [len(order)]]))
+    if (values[order, 1] != np.repeat(values[order[begin], 1], size)).any():  # unlike windows with one first half
+        order = np.lexsort((values[:, 1], values[:, 0]))
+        begin = np.flatnonzero(np.concatenate([[True], (np.diff(values[order], axis=0) != 0).any(1)]))
+        size = np.diff(np.concatenate([begin, [len(order)]]))
+    least = np.repeat(np.minimum.reduceat(ids[order], begin), size)
     keep = order[ids[order] > least]
-    return ids[keep], values[keep]
+    return ids[keep], values[keep, 0]
 
 
 SHARDED = "shard int, ids binary, counts binary, data binary"
@@ -188,7 +199,10 @@ def is_in(values: np.ndarray, text: np.ndarray, found: list, n: int) -> np.ndarr
 
 
 def candidates(docs: DataFrame, window: int, block: int, shards: int) -> DataFrame:
-    """All windows of `window` words around the anchors found; docs has text, doc_id and found."""
+    """An anchor stretched to either side: all windows of `window` words that hold it, as two hashes each.
+
+    docs has text, doc_id and found.
+    """
 
     def run(it):
         for rows in batches(it, ["text", "doc_id", "found"]):
@@ -201,9 +215,10 @@ def candidates(docs: DataFrame, window: int, block: int, shards: int) -> DataFra
             np.add.at(near, hit + 1, -1)
             at, h = w.windows(window)
             keep = np.cumsum(near)[at] > 0
-            at, h = at[keep], h[keep]
+            _, other = w.windows(window, w.hashed(tables(False, False, True)[0]))
+            at, both = at[keep], np.column_stack([h[keep], other[keep]])
             ids = np.array([r[1] for r in rows], dtype=np.int64)
-            yield table_of(list(to_shards(ids, w.text[at], h, ((h >> U(32)) % U(shards)).astype(np.int64), 8)))
+            yield table_of(list(to_shards(ids, w.text[at], both, ((both[:, 0] >> U(32)) % U(shards)).astype(np.int64), 16)))
 
     return docs.select("text", "doc_id", "found").mapInArrow(run, SHARDED)
 
@@ -231,14 +246,11 @@ def drop_repeats(docs: DataFrame, window: int = 50, block: int = 25, with_text:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(parts, math.ceil(total / 6 / SHARD_WORDS))
     named = docs.filter("doc_id is not null")
-    found = materialise(found_by_text(probes(named, window, block, shards), parts, anchors, 6), "anchors")
-    tidy(spark)
+    found = materialise(found_by_text(probes(named, window, block, shards), shards, anchors, 6), "anchors")
     # merge joins at every size: what would fit a broadcast depends on the corpus
     near = candidates(named.join(found.hint("merge"), "doc_id"), window, block, shards)
-    again = materialise(found_by_text(near, parts, repeated, 8), "repeats")
-    del near
+    again = materialise(found_by_text(near, shards, repeated, 16), "repeats")
     release(found)
-    tidy(spark)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "spans", *["kept"] * with_text]
 
     def run(it):

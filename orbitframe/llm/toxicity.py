@@ -2,7 +2,7 @@
 
 Folding undoes disguises: compatibility forms, case, look-alike Greek and Cyrillic letters,
 invisible characters, and digits or signs put for letters; ``l`` and ``1`` fold to ``i``.  Lexicon
-entries are beginnings of words with a weight, the log of how much more often labelled toxic texts
+entries are beginnings of words, or whole short words, with a weight, the log of how much more often labelled toxic texts
 hold them than others.  A hit inside an exception phrase does not count.  A text's weights, as a
 sum and by its length, give a probability through a logistic curve.
 
@@ -11,8 +11,9 @@ first by a hash of their id, without near copies.  All texts are scored whole, i
 
 Defined results: a null or empty text has no hits and gets the curve's value there; repeated rows
 are scored one by one; without labelled rows of both kinds the lexicon is empty and every score is
-the share of toxic rows, or 0; labels that contradict each other all count; an empty table gives an
-empty one; other columns, whatever their names, are ignored.
+the share of toxic rows, or 0; labels that contradict each other all count; ids may be any 64-bit
+numbers; a text is one task's, at about 5 bytes of memory a byte; an empty table gives an empty one;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,7 +38,8 @@ UNSEEN = "­​‌‍⁠﻿"
 FOLD = str.maketrans(LOOKALIKES | WRITTEN | dict.fromkeys(UNSEEN))
 #: Phrases in which an entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy", "sore loser rule", "stupid simple", "class clown")
-#: Lengths of the word beginnings that can become entries.
+#: Lengths of the word beginnings that can become entries; a longer word is known by its first ten
+#: letters, a shorter one only as a whole.
 SIZES = range(4, 11)
 
 
@@ -55,8 +59,9 @@ def fold(text: str) -> str:
 
 
 def beginnings(text: str) -> set[str]:
-    """The word beginnings of a folded text that could be entries."""
-    return {w[:k] for w in set(re.findall(r"[^\W_]+", text)) for k in SIZES if len(w) >= k}
+    """What of a folded text could be entries."""
+    words = set(re.findall(r"[^\W_]+", text))
+    return {w[:k] for w in words for k in SIZES if len(w) >= k} | {w for w in words if 1 < len(w) < SIZES[0]}
 
 
 def automaton(model: Model):
@@ -81,13 +86,15 @@ def features(text: str, found) -> tuple[float, float, float]:
         begin = end - size + 1
         if begin and text[begin - 1].isalnum():
             continue
-        if weight is None:
-            if end + 1 == len(text) or not text[end + 1].isalnum():
-                spared.append((begin, end))
-        else:
+        if weight is not None and size >= SIZES[0]:
             hits.append((begin, end, weight))
+        elif end + 1 == len(text) or not text[end + 1].isalnum():  # phrases and short words are whole
+            (spared if weight is None else hits).append((begin, end, weight))
     if spared:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in spared)]
+        spared.sort(key=lambda x: x[0])
+        begins, ends = [x[0] for x in spared], list(accumulate((x[1] for x in spared), max))
+        inside = lambda h: (k := bisect_right(begins, h[0])) and ends[k - 1] >= h[1]
+        hits = [h for h in hits if not inside(h)]
     total = sum(h[2] for h in hits)
     kinds = len({text[h[0] : h[1] + 1] for h in hits})
     return math.log1p(total), math.log1p(100 * total / max(1, len(text.split()))), math.log1p(kinds)
@@ -118,21 +125,27 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
         used = [u and v >= 0 for u, v in zip(used, out[1:])]
 
 
-def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_other: int, most: int) -> list[tuple[str, float]]:
-    """Entries among (beginning, toxic texts, other texts): strong ones, none of which begins another."""
+def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_other: int) -> list[tuple[str, float]]:
+    """Entries among (beginning, toxic texts, other texts): the strongest ones, none of which begins another."""
     rows = []
     for e, t, c in counts:
         weight = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_other + 1))
         rows.append((round(t / n_toxic - c / n_other, 9), len(e), e, weight))
-    out: list[tuple[str, float]] = []
-    for _, _, e, weight in sorted(rows, reverse=True):
-        if len(out) < most and not any(e.startswith(o) or o.startswith(e) for o, _ in out):
-            out.append((e, weight))
-    return out
+    out: dict[str, float] = {}
+    begun: set[str] = set()
+    for _, size, e, weight in sorted(rows, reverse=True):
+        if size < SIZES[0] or not (e in begun or any(e[:k] in out for k in range(SIZES[0], size + 1))):
+            out[e] = weight
+            begun |= {e[:k] for k in range(SIZES[0], size + 1)}
+    return list(out.items())
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries: int = 512, least_texts: int = 8, least_weight: float = 1.6, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
-    """A model from labels (doc_id, toxic) of rows of docs; at most sample_rows of them."""
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_texts: int = 8, least_weight: float = 1.6, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+    """A model from labels (doc_id, toxic) of rows of docs; at most sample_rows of them.
+
+    Entries are all that least_texts toxic texts of the sample hold, or more, and that are so much
+    likelier there than in others (least_weight, in log odds); fewer texts than that tell nothing sure.
+    """
     spark = docs.sparkSession
     chosen = labels.filter("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).distinct()
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample_rows)
@@ -145,10 +158,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries
             w = Words([r[0] for r in part], lower=True)
             at, h = w.windows(5)
             cut = np.searchsorted(w.text[at], np.arange(len(part) + 1))
-            cols = []
+            ids, cols = np.array([r[1] for r in part], dtype=np.int64).view(U), []
             for k in range(1, 4):
                 x = mix(h ^ U(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-                own = [int(x[a:b].min().view(np.int64)) if b > a else int(r[1]) * 4 + k for r, a, b in zip(part, cut[:-1], cut[1:])]
+                own = [int((x[a:b].min() if b > a else i).view(np.int64)) for a, b, i in zip(cut[:-1], cut[1:], mix(ids ^ U(k)))]
                 cols.append(pa.array(own, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int32()), *cols], ["doc_id", "toxic", "m1", "m2", "m3"])
 
@@ -186,8 +199,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries
     odds = math.exp(least_weight) * (n_toxic + 1) / (n_other + 1)
     counts = rows.mapInArrow(count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     strong = counts.filter((F.col("t") >= least_texts) & (F.col("t") + 0.5 >= odds * (F.col("c") + 0.5)))
-    strong = strong.orderBy(F.desc(F.col("t") / n_toxic - F.col("c") / n_other), F.desc(F.length("entry")), "entry").limit(entries * 16)
-    chosen_entries = choose([tuple(r) for r in strong.collect()], n_toxic, n_other, entries)
+    # as many as the words of sample_rows texts at most
+    chosen_entries = choose([tuple(r) for r in strong.collect()], n_toxic, n_other)
     model = Model(tuple(chosen_entries), exceptions, (base, 0.0, 0.0, 0.0))
 
     def look(it):

@@ -51,8 +51,9 @@ def test_against_all_pairs(spark):
         kept = []
         for line in text.split("\n"):
             own = line.strip(" ")
-            if len(own) >= L.LEAST:
-                gone = any(distance(own, s) <= L.EDITS for s in seen if abs(len(s) - len(own)) <= L.EDITS)
+            if own:
+                near = lambda s: len(own) >= L.LEAST and len(s) >= L.LEAST and abs(len(s) - len(own)) <= L.EDITS and distance(own, s) <= L.EDITS  # noqa: B023, E731
+                gone = any(own == s or near(s) for s in seen)
                 seen.append(own)
                 if gone:
                     continue
@@ -60,6 +61,27 @@ def test_against_all_pairs(spark):
         assert got[d].kept == "\n".join(kept) and got[d].n_removed == len(text.split("\n")) - len(kept)
 
 
+def test_crowded_keys_change_nothing(spark, monkeypatch):
+    """Many lines that share a segment, dealt to several tasks, against the plain way."""
+    rng = random.Random(4)
+    head = "the very same beginning of all lines "
+    docs = [(i, head + edited(rng, "and an end of their own that differs ", 3) + "".join(rng.choice("abcdef") for _ in range(rng.randint(0, 3)))) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    plain = sorted(tuple(r) for r in L.drop_lines(df).collect())
+    monkeypatch.setattr(L, "SAMPLED", 2)
+    monkeypatch.setattr(L, "CROWD", 16)
+    assert sorted(tuple(r) for r in L.drop_lines(df).collect()) == plain
+    assert any(r[2] for r in plain)
+
+
+def test_short_and_blank_lines(spark):
+    docs = [(1, "a\n\n \t\nb\na"), (2, "b \n\nc\n\t"), (2**62 + 5, "c\nd"), (2**63 - 1, "d\n" + "long " * 20), (-5, "long " * 20 + "x")]
+    got = {r.doc_id: r.kept for r in L.drop_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: "a\n\n \t\nb", 2: "\nc\n\t", 2**62 + 5: "d", 2**63 - 1: "", -5: "long " * 20 + "x"}
+    far = {r.doc_id: r.n_removed for r in L.drop_lines(spark.createDataFrame(docs, "doc_id long, text string"), least=200).collect()}
+    assert far[2**63 - 1] == 1  # the long lines are no longer compared
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = L.drop_lines(odd_docs, extra=("shard", "key")).collect()
     got = {r.doc_id: r for r in rows}
@@ -97,5 +119,47 @@ def test_rules_are_filed_by_their_rarest_token(judged, spark):
     at = {r.rule: r.token for r in U.rule_index(urls, rules).collect()}
     assert at["example.com/en/"] == "en" and at["com/"] == "com" and at["www.example.com/en/"] == "www"
     with pytest.raises(ValueError):
-        U.judge(urls, [])
+        U.judge(urls.limit(0).withColumns({"page_id": F.lit(1), "url": F.lit("")}), [])
     assert U.judge(spark.createDataFrame([], "page_id long, url string"), rules).count() == 0
+
+
+def test_patterns():
+    import re
+
+    fits = lambda rule, subject: bool(re.search(U.pattern_rule("block", rule).pattern.replace(r"\z", r"\Z"), subject))
+    assert fits("casino-*", "m.casino-win.example.com/x") and fits("casino-*", "casino-win") and not fits("casino-*", "mycasino-win.com/") and not fits("casino-*", "x.com/casino-win")
+    assert fits("*-bets.*", "free-bets.example.com/") and not fits("*-bets.*", "free-bets/")
+    assert fits("Example.com/a*/b", "www.example.com/axx/y/b/c") and not fits("example.com/a*/b", "example.com/A/b") and fits("example.com", "example.com") and fits("example.com", "example.com/x") and not fits("example.com", "example.com.org/")
+    assert fits("*/*.exe$", "a.b/c/d.exe") and not fits("*/*.exe$", "a.b/c/d.exe2") and not fits("*/*.exe$", "a.exe")
+    assert U.pattern_rule("block", "*/wp-login.php").tokens == ("wp", "login") and U.pattern_rule("block", "*/*.exe$").tokens == ("exe",)
+    assert U.pattern_rule("block", "ca*no.com/x*/yy/z").tokens == ("com", "yy") and U.pattern_rule("block", "*/--").tokens == ()
+
+
+def test_thousands_of_rules(spark, monkeypatch):
+    """All rules with wildcards on all URLs, one after another, against the index; with a broadcast index and without."""
+    import re
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, 3)))
+    shapes = [lambda: f"{word()}.{word()}/", lambda: f"{word()}-*", lambda: f"*-{word()}.*/{word()}", lambda: f"*/{word()}*/{word()}$", lambda: f"{word()}.{word()}/{word()}/{word()}"]
+    texts = sorted({rng.choice(shapes)() for _ in range(3000)})
+    table = spark.createDataFrame([(rng.choice(["allow", "block"]), t, "pattern") for t in texts] + [("block", "*/--", "pattern"), ("allow", "aa", "word"), ("allow", "b.c/", "place")], "action string, pattern string, kind string")
+    rules = U.rules_of(table)
+    assert len(rules) > 1000 and any(not r.tokens for r in rules)
+    urls = [f"http://{'.'.join(rng.choice([word(), word() + '-' + word()]) for _ in range(rng.randint(1, 3)))}/{'/'.join(word() for _ in range(rng.randint(0, 3)))}" for _ in range(150)] + ["http://x.y/--z"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    compiled = [(r, re.compile(r.pattern.replace(r"\z", r"\Z"))) for r in rules]
+    want = {}
+    for i, u in enumerate(urls):
+        fit = [r for r, p in compiled if p.search(u[7:])]
+        want[i] = min(fit, key=lambda r: (-r.tier, -len(r.name), r.name)) if fit else None
+    for most in (U.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(U, "BROADCAST_BYTES", most)
+        got = {r.page_id: (r.rule, r.verdict) for r in U.judge(df, rules).collect()}
+        assert got == {i: (r.name, r.action) if r else (None, "allow") for i, r in want.items()}
+    assert sum(r is not None for r in want.values()) > 30
+
+
+def test_only_rules_without_tokens(spark):
+    df = spark.createDataFrame([(1, "http://x.y/--z"), (2, "http://x.y/z"), (3, None), (None, "http://x.y/--")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in U.judge(df, [U.pattern_rule("block", "*/--")]).collect()} == {1: "block", 2: "allow", 3: "allow", None: "block"}

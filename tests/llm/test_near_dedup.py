@@ -86,3 +86,49 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert {got[i] for i in range(100, 141)} == {100} and {got[i] for i in [7, *range(200, 231)]} == {7} and 5 not in got
     assert components(spark.createDataFrame([], "a long, b long"), "t").count() == 0
+
+
+def test_a_large_cluster_in_chunks(spark):
+    """One group of near copies, and one that falls apart into several, cut into many chunks."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(3000)}" for _ in range(60)]
+    docs = near_copies(3, 1, 150, 90)
+    for g in range(4):  # alike enough to share tables, too unlike to be linked
+        own = list(base)
+        for k in range(9):
+            own[(g * 13 + k * 6) % 60] = f"g{g}.{k}"
+        for i in range(25):
+            now = list(own)
+            now[rng.randrange(60)] = f"x{rng.randrange(10**6)}" if i else own[0]
+            docs.append((len(docs), " ".join(now)))
+    got = M.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), Fraction(85, 100), chunk=16).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, Fraction(85, 100))
+
+
+def test_chunks_by_weight(spark, monkeypatch):
+    docs = near_copies(4, 3, 20, 90)
+    monkeypatch.setattr(M, "CHUNK_SHINGLES", 400)
+    got = M.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, Fraction(4, 5))
+
+
+def test_one_id_with_several_texts(spark):
+    a, b, c, d = ("one two three four five six", "red green blue black white pink", "sun moon star sky cloud rain", "up down left right in out")
+    rows = [(1, a), (1, b), (2, a), (3, b), (9, c), (5, c), (5, d), (7, d), (8, None), (8, d), (10, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in M.near_duplicates(df).collect())
+    assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (5, 2, 5), (5, 2, 5), (7, 2, 5), (8, 0, 8), (8, 2, 5), (9, 2, 5), (10, 0, 10)]
+
+
+def test_any_ids(spark):
+    text = "one two three four five six"
+    ids = [2**63 - 1, -(2**63), 2**62 + 5, 0]
+    got = {r.doc_id: r.component_id for r in M.near_duplicates(spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(ids, -(2**63))
+
+
+def test_hubs(spark):
+    """A hub with far more neighbours than all other nodes, looked up in the broadcast table."""
+    edges = [(5, i) for i in range(1000, 3000)] + [(i, i + 1) for i in range(1000, 1100)] + [(4000 + i, 4001 + i) for i in range(0, 100, 2)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    assert all(got[i] == 5 for i in [5, *range(1000, 3000)]) and all(got[4001 + i] == 4000 + i for i in range(0, 100, 2))

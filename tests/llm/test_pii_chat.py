@@ -73,6 +73,26 @@ def test_long_secrets(spark):
     assert [got[len(texts) + i] for i in range(len(plain))] == plain
 
 
+def test_counts_of_what_is_added(spark):
+    text = "host fe80:1:2:3:4:5:6:7, IBAN DE89 3704 0044 0532 0130 00, born on 1980-02-03, at 12:30:45 on 2020-01-02; DE00370400440532013000 token = \"0123456789abcdef0123456789abcdef01234567\" 4425679706863800"
+    r = P.find(spark.createDataFrame([(1, text), (2, None), (2**62 + 5, "x")], "doc_id long, text string")).orderBy("doc_id").first()
+    assert (r.n_ipv6, r.n_iban, r.n_birth, r.n_secret, r.n_local_phone, r.n_ssn, r.n_spelled_email) == (1, 1, 1, 1, 0, 0, 0)
+    assert r.n_spans == len(r.spans.split(",")) == 4 + r.n_card
+
+
+def test_the_trees_meet_their_thresholds(spark):
+    """On the spans held out for thresholds; and each part of the fitting has spans of its own."""
+    docs = spark.read.parquet(str(DATA / "documents.parquet"))
+    model = P.learn(docs)
+    assert all(p >= 0.95 and r >= 0.6 for p, r in model.quality.values()), model.quality
+    assert P.learn(docs).least == model.least
+    texts = [r.text for r in docs.collect()]
+    want = [(i, m.start(1), m.end(1)) for i, t in enumerate(texts) for m in re.finditer(r'token = "([0-9a-f]{40})"', t or "")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.doc_id, r.start, r.stop) for r in P.spans(df, model).filter("kept and kind = 'secret'").collect()]
+    assert set(want) <= set(got) and len(got) <= len(want) + 2
+
+
 def test_trees_and_their_expression_agree(spark):
     rng = np.random.default_rng(1)
     x = rng.random((800, 3))
@@ -106,3 +126,20 @@ def test_chat_round_trip(spark):
         assert r.target.replace("&lt;", "<").replace("&amp;", "&") == turn.text and r.context.endswith("<|im_start|>assistant\n")
         assert r.context.count("<|im_start|>") == r.n
     assert C.conversations_formatted(df.limit(0)).count() == 0
+    assert C.read_back(done.limit(0)).count() == 0
+
+
+def test_replies_are_what_the_mask_covers(spark):
+    """A mask that is off by one gives other replies: they are read from the output, not from the turns."""
+    df = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "hello & bye")], "conv_id long, turn long, role string, text string")
+    done = C.conversations_formatted(df)
+    assert C.read_back(done).first().replies == ["hello & bye"]
+    for start, size in ((1, 0), (0, 1), (-1, 0)):
+        moved = F.transform("examples", lambda e: F.struct(e["n"].alias("n"), (e["loss_start"] + start).alias("loss_start"), (e["loss_chars"] + size).alias("loss_chars")))  # noqa: B023
+        assert C.read_back(done.withColumn("examples", moved)).first().replies != ["hello & bye"]
+
+
+def test_a_long_conversation(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"<|{i}&" * (i % 7)) for i in range(3000)]
+    r = C.read_back(C.conversations_formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert r.replies == [x[3] for x in rows if x[2] == "assistant"] and len(r.turns) == 3000

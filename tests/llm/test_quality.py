@@ -58,3 +58,32 @@ def test_kept_rows_are_whole(odd_docs, no_docs):
     want = sorted(str(r.doc_id) for r in Q.judge(odd_docs).filter("kept").collect())
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
     assert Q.keep_good(no_docs).count() == 0
+
+
+def test_fit_equals_the_textbook():
+    """Expectation-maximisation written out with loops over texts, from the same start."""
+    import math
+
+    rng = np.random.default_rng(7)
+    n, rules = 300, len(Q.RULES)
+    good = rng.random(n) < 0.7
+    vote = np.where(rng.random((n, rules)) < 0.8, good[:, None], ~good[:, None]) * 2
+    vote[rng.random(vote.shape) < 0.2] = 1
+    p = [1 / (1 + math.exp(-max(-8, min(8, sum(x == 2 for x in v) - 3.0 * sum(x == 0 for x in v))))) for v in vote.tolist()]
+    for _ in range(200):
+        log = []
+        for weight in ([1 - x for x in p], p):
+            table = []
+            for j in range(rules):
+                seen = [sum(w for w, v in zip(weight, vote.tolist()) if v[j] == k) + Q.SMOOTHING for k in range(3)]
+                table.append([math.log(x / sum(seen)) for x in seen])
+            log.append(table)
+        prior = math.log((sum(p) + Q.SMOOTHING) / (n - sum(p) + Q.SMOOTHING))
+        gain = [[min(0.0, log[1][j][0] - log[0][j][0]), 0.0, max(0.0, log[1][j][2] - log[0][j][2])] for j in range(rules)]
+        new = [1 / (1 + math.exp(-max(-30, min(30, prior + sum(gain[j][v[j]] for j in range(rules)))))) for v in vote.tolist()]
+        done = max(abs(a - b) for a, b in zip(new, p)) < 1e-9
+        if done:
+            break
+        p = new
+    codes, back, count = np.unique(vote @ 3 ** np.arange(rules), return_inverse=True, return_counts=True)
+    assert np.allclose(Q.fit(codes, count.astype(float))[back], p, atol=1e-6)

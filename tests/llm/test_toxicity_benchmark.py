@@ -33,6 +33,54 @@ def test_held_out_labels(spark):
     assert T.learn(docs, labels.filter(~held)) == model
 
 
+def naive(text, model):
+    """The score by looking for every entry at every place of the folded text."""
+    import math
+
+    t, hits, spared = T.fold(text or ""), [], []
+    for b in range(len(t)):
+        if b and t[b - 1].isalnum():
+            continue
+        for e in {T.fold(x) for x in model.exceptions}:
+            if t.startswith(e, b) and not t[b + len(e) : b + len(e) + 1].isalnum():
+                spared.append((b, b + len(e)))
+        for e, w in model.entries:
+            if t.startswith(e, b) and (len(e) >= 4 or not t[b + len(e) : b + len(e) + 1].isalnum()):
+                hits.append((b, b + len(e), w))
+    hits = [h for h in hits if not any(a <= h[0] and h[1] <= z for a, z in spared)]
+    total = sum(h[2] for h in hits)
+    x = (math.log1p(total), math.log1p(100 * total / max(1, len(t.split()))), math.log1p(len({t[a:z] for a, z, _ in hits})))
+    z = model.curve[0] + sum(a * b for a, b in zip(model.curve[1:], x)) if t and model.entries else model.curve[0]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_against_a_plain_search(spark, odd_docs):
+    docs = spark.read.parquet(str(DATA / "documents.parquet"))
+    model = T.Model((*MODEL.entries, (T.fold("the"), 1.5), (T.fold("oner"), 0.7), ("er", 0.2)), (*MODEL.exceptions, "the erer", "of the"), MODEL.curve)
+    for df in (docs, odd_docs.filter("length(text) < 1000 or text is null")):
+        texts = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        got = sorted((str(r.doc_id), round(r.score, 9), r.predicted) for r in T.score(df, model).collect())
+        assert got == sorted((str(i), round(v, 9), int(v >= 0.7)) for i, v in ((i, naive(t, model)) for i, t in texts))
+
+
+def test_entries():
+    counts = [("idio", 50, 0), ("idiot", 50, 0), ("idiots", 20, 0), ("an", 40, 1), ("trash", 45, 1), ("tras", 45, 30)]
+    got = dict(T.choose(counts, 60, 100))
+    assert set(got) == {"idiot", "an", "trash"} and got["idiot"] > got["trash"] > 0
+    many = [(f"word{i:05d}", 20, 0) for i in range(5000)]
+    assert len(T.choose(many, 60, 100)) == 5000
+    model = T.Model((("an", 3.0),), (), (-2.0, 2.0, 0.0, 0.0))
+    has = lambda t: T.features(T.fold(t), T.automaton(model))[0] > 0
+    assert has("an ox") and has("x an") and not has("and") and not has("ban")
+
+
+def test_labels_of_any_ids(spark):
+    rows = [(2**62 + 5, "a b"), (2**63 - 1, "c"), (-(2**63), "d e f"), (7, "one two three four five six")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, (i, _) in enumerate(rows)], "doc_id long, toxic int")
+    assert T.score(docs, T.learn(docs, labels)).count() == 4
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     rows = T.score(odd_docs, MODEL).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
@@ -98,6 +146,17 @@ def test_benchmark_with_odd_rows(spark, odd_docs, no_docs):
     assert D.contaminated(odd_docs, items.limit(0)).filter("contaminated").count() == 0 and D.contaminated(no_docs, items).count() == 0
 
 
+def test_shards_change_nothing(spark, monkeypatch):
+    """The same rows whether the items are one shard or many."""
+    docs, items = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    docs = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(None, None, None, None, None), (5, "", "x", "y", 0)], docs.schema))
+    rows = lambda: sorted((str(r.doc_id), r.contaminated, r.n_retrieved, r["items"], round(r.overlap, 9), str(r.source)) for r in D.contaminated(docs, items, extra=("source",)).collect())
+    one = rows()
+    monkeypatch.setattr(D, "SHARD_BYTES", 2000)
+    assert rows() == one and any(r[1] for r in one)
+    assert D.contaminated(docs.limit(0), items).count() == 0
+
+
 def test_questions_and_answers():
     assert D.halves("one two three four five? six seven eight nine ten") == ("one two three four five?", " six seven eight nine ten")
     q, a = D.halves("a b c d e f g h i")
