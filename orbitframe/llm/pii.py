@@ -56,7 +56,7 @@ NEEDS = {"email": "@", "phone": "+", "spelled_email": "at", "ipv6": ":"}
 KINDS = (*BASE, *MORE)
 AROUND = 32
 TRAINING, CONTEXTS, SAMPLE_DOCS, NEGATIVES = 6000, 1000, 2000, 500
-FEATURES = ("kind", "size", "digits", "letters", "upper", "distinct", "marks", "cue", "assigned", "joined", "switches", "vowels", "brackets", "dot", "colons", "checked")
+FEATURES = ("kind", "size", "digits", "letters", "upper", "distinct", "marks", "cue", "near", "assigned", "joined", "switches", "vowels", "brackets", "dot", "colons", "checked")
 
 
 def proposals(text: Column, kind: str, pattern: str) -> Column:
@@ -103,7 +103,7 @@ def feature_columns(kind: Column, match: Column, before: Column, after: Column)
     def count(pattern: str) -> Column:
         return size - F.length(F.regexp_replace(match, pattern, ""))
 
-    cue = F.regexp_like(F.lower(before), F.lit(r"pass|pwd|token|key|secret|ssn|social|phone|call|tel|mobile|mail|contact|auth|bearer|iban|account|konto|born|birth|dob|host|addr"))
+    words = F.lit(r"pass|pwd|token|key|secret|ssn|social|phone|call|tel|mobile|mail|contact|auth|bearer|iban|account|konto|born|birth|dob|host|addr")
     switches = F.size(F.regexp_extract_all(match, F.lit("[0-9]+|[A-Z]+|[a-z]+"), F.lit(0)))
     return {
         "kind": F.coalesce(F.array_position(F.array(*[F.lit(k) for k in MORE]), kind).cast("double"), F.lit(0.0)),
@@ -113,7 +113,8 @@ def feature_columns(kind: Column, match: Column, before: Column, after: Column)
         "upper": count("[A-Z]") / size,
         "distinct": F.size(F.array_distinct(F.split(match, ""))) / size,
         "marks": count("[A-Za-z0-9]").cast("double") * -1 + size,
-        "cue": cue.cast("double"),
+        "cue": F.regexp_like(F.lower(before), words).cast("double"),
+        "near": F.regexp_like(F.lower(F.right(before, F.lit(12))), words).cast("double"),
         "assigned": F.regexp_like(before, F.lit(r"[=:]\s*[\"']?$")).cast("double"),
         "joined": (F.regexp_like(before, F.lit(r"[^\s\"'=:(]$")) | F.regexp_like(after, F.lit(r"^[^\s\"',.;:!?)]"))).cast("double"),
         "switches": switches / size,
@@ -142,10 +143,12 @@ def made_up(rng: random.Random, around: list[str]) -> tuple[str, str, str, str,
     both = lower + lower.upper() + digit
     kind, good = rng.choice(list(MORE)), rng.randint(0, 1)
     before, after = f"{word()} {word()} ", f" {word()} {word()}."
-    if around:
+    if len(around) >= 20:
         text = rng.choice(around)
         cut = rng.randint(0, len(text))
         before, after = text[:cut].rstrip() + " ", " " + text[cut:].lstrip()
+    if rng.random() < 0.3:  # a telling word that belongs to something else
+        before = rng.choice(["call", "token", "host", "IBAN", "born", "SSN", "account"]) + " " + before[-rng.randint(14, 20) :].rjust(14)
     if kind == "local_phone":
         s = rng.choice([" ", "-", "."])
         match = f"{some(digit, 3)}{s}{some(digit, 3)}{s}{some(digit, 4)}" if rng.random() < 0.6 else f"({some(digit, 3)}) {some(digit, 3)}-{some(digit, 4)}"
