@@ -40,12 +40,12 @@ def tidied(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write df as Parquet under the shared folder and read it again: this cuts the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/orbitframe/{name}-{uuid.uuid4().hex}"
     with tidied(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", compression).parquet(path)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

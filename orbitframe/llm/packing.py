@@ -57,8 +57,9 @@ class Bm25:
         """idf (by token id) and mean (length) are those of these documents unless given."""
         n = self.n = len(docs)
         sizes = np.array([len(d) for d in docs])
-        key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), sizes), return_counts=True)
-        term, self.doc = key // n, key % n
+        kind = np.uint32 if (int(max(map(np.max, docs))) + 1) * n < 1 << 32 else np.uint64
+        key, tf = np.unique(np.concatenate(docs).astype(kind) * kind(n) + np.repeat(np.arange(n, dtype=kind), sizes), return_counts=True)
+        term, self.doc = key // kind(n), (key % kind(n)).astype(np.int32)
         names, begin, df = np.unique(term, return_index=True, return_counts=True)
         self.begin = np.concatenate([begin, [len(key)]])
         own = weights_of(n, df) if idf is None else idf[names]
@@ -81,7 +82,9 @@ class Bm25:
         own = self.own_terms[self.own_begin[d] : self.own_begin[d + 1]]
         own = own[self.useful[own]]
         row = self.row[own]
-        out = self.rows[row[row >= 0]].sum(axis=0, dtype=np.float64)
+        asked = np.zeros(len(self.rows), dtype=np.float32)
+        asked[row[row >= 0]] = 1
+        out = (asked @ self.rows).astype(np.float64)
         rare = own[row < 0]
         size = self.begin[rare + 1] - self.begin[rare]
         total = np.cumsum(size)
@@ -175,12 +178,32 @@ def ids_of(data: bytes, width: int) -> np.ndarray:
 
 def vectors(docs: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit vectors of the documents' terms: document, place and value of what isn't 0."""
-    sizes = np.array([len(d) for d in docs])
-    key = np.unique(np.concatenate(docs).astype(np.int64) + np.repeat(np.arange(len(docs)) * len(idf), sizes))
-    doc, term = key // len(idf), key % len(idf)
+    doc, term = distinct(docs, len(idf))
     value = idf[term]
+    doc, term, value = (x[value > 0] for x in (doc, term, value))  # terms of half the documents say nothing
     norm = np.sqrt(np.bincount(doc, weights=value**2, minlength=len(docs)))
-    return doc, (mix(term.astype(U)) % U(WIDTH)).astype(np.int64), value / np.maximum(norm, 1e-9)[doc]
+    return doc, (term.astype(U) * U(0x9E3779B97F4A7C15) >> U(64 - WIDTH.bit_length() + 1)).astype(np.int64), value / np.maximum(norm, 1e-9)[doc]
+
+
+def distinct(docs: list[np.ndarray], terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's distinct terms, of ids below `terms`: document and term of each, in order."""
+    kind = np.uint32 if terms * len(docs) < 1 << 32 else np.uint64
+    sizes = np.array([len(d) for d in docs])
+    key = np.sort(np.concatenate(docs).astype(kind) + np.repeat(np.arange(len(docs), dtype=kind) * kind(terms), sizes))
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    return (key // kind(terms)).astype(np.int64), (key % kind(terms)).astype(np.int64)
+
+
+def portions(docs: list[np.ndarray], most: int = 1 << 19) -> Iterator[slice]:
+    """Stretches of documents of about so many tokens, and one document at least."""
+    first, held = 0, 0
+    for k, d in enumerate(docs):
+        if held and held + len(d) > most:
+            yield slice(first, k)
+            first, held = k, 0
+        held += len(d)
+    if first < len(docs):
+        yield slice(first, len(docs))
 
 
 @dataclass
@@ -276,22 +299,24 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
         import pyarrow as pa
 
         own = encoder(tokenizer)
-        for part in batches(it, ["text", "doc_id"], 4 << 20):
+        for part in batches(it, ["text", "doc_id"], 3 << 20):
             data = [np.append(x, x.dtype.type(end_id)) for x in own.encode([r[0] for r in part])]
             yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in part], pa.int64()), pa.array([x.tobytes() for x in data], pa.binary()), pa.array([x.itemsize for x in data], pa.int32()), pa.array([len(x) for x in data], pa.int64())], ["doc_id", "data", "width", "n"])
 
     made = docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(tokens, "doc_id long, data binary, width int, n long")
-    made = materialise(made, "tokens")
+    made = materialise(made, "tokens", "snappy")  # ids don't shrink much
 
     def term_counts(it):
         import pyarrow as pa
 
         df = np.zeros(0, dtype=np.int64)
         for b in it:
-            for data, width in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = np.unique(ids_of(data, width))
-                df = np.pad(df, (0, max(0, int(own[-1]) + 1 - len(df))))
-                df[own] += 1
+            data = [ids_of(d, w) for d, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            for some in portions(data):
+                n = int(max(map(np.max, data[some]))) + 1
+                own = np.bincount(distinct(data[some], n)[1], minlength=len(df))
+                own[: len(df)] += df
+                df = own
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(df[some], pa.int64())], ["term", "df"])
 
@@ -303,18 +328,18 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
     idf[seen.column(0).to_numpy()] = weights_of(total, seen.column(1).to_numpy())
     parts = int(min(PARTS, np.ceil(whole[2] or 1)))
 
-    def sampled(most: int) -> DataFrame:
-        """Rows chosen by a hash, about `most` of them."""
-        return made.filter(F.xxhash64("doc_id", "data") <= F.lit(low(most / max(1, total))))
+    # rows chosen by a hash, in proportion to the parts
+    picked = made.filter(F.xxhash64("doc_id", "data") <= F.lit(low(max(SAMPLE, CUT_SAMPLE * parts) / max(1, total))))
+    picked = materialise(picked, "picked") if parts > 1 else picked
 
     def flat(it):
         import pyarrow as pa
 
         for b in it:
             rows = [ids_of(d, w) for d, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            if rows:
-                doc, place, value = vectors(rows, idf)
-                x = np.zeros((len(rows), WIDTH), dtype=np.float32)
+            for some in portions(rows):
+                doc, place, value = vectors(rows[some], idf)
+                x = np.zeros((len(rows[some]), WIDTH), dtype=np.float32)
                 np.add.at(x, (doc, place), value)
                 yield pa.RecordBatch.from_arrays([pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary())], ["x"])
 
@@ -322,7 +347,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
     tree = Tree(0, np.zeros((1, WIDTH), np.float32), np.zeros(1, np.float32))
     cuts = np.zeros(0, dtype=np.int64)
     if parts > 1:
-        x = sampled(SAMPLE).select("data", "width").limit(2 * SAMPLE).mapInArrow(flat, "x binary").toArrow().column(0).to_pylist()  # 8 KB each
+        x = picked.select("data", "width").limit(SAMPLE).mapInArrow(flat, "x binary").toArrow().column(0).to_pylist()  # 8 KB each
         tree = Tree.fit(np.array([np.frombuffer(v, np.float16) for v in sorted(x)], dtype=np.float32), depth)
 
     sent = spark.sparkContext.broadcast((tree, idf))
@@ -335,13 +360,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
             data = [ids_of(d, w) for d, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             if not data:
                 continue
-            key = keys(sent.value[0], data, b.column(0).to_pylist(), sent.value[1]) if parts > 1 else keys(tree, data, b.column(0).to_pylist(), idf)
+            ids, (tree, idf) = b.column(0).to_pylist(), sent.value
+            key = np.concatenate([keys(tree, data[some], ids[some], idf) for some in portions(data)])
             part = np.searchsorted(cuts, key, side="right")
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key, pa.int64()), pa.array(part, pa.int32())], ["doc_id", "data", "width", "n", "key", "part"])
 
     keyed = "doc_id long, data binary, width int, n long, key long, part int"
     if parts > 1:
-        some = sampled(CUT_SAMPLE * parts).mapInArrow(ordered, keyed).select("key", F.greatest(F.col("n") / SHARD_TOKENS, F.lit(1 / SHARD_DOCS)).alias("share"))
+        some = picked.mapInArrow(ordered, keyed).select("key", F.greatest(F.col("n") / SHARD_TOKENS, F.lit(1 / SHARD_DOCS)).alias("share"))
         some = some.groupBy("key").agg(F.sum("share").alias("share")).toArrow()  # about CUT_SAMPLE * PARTS rows at most
         key, weight = some.column(0).to_numpy(), some.column(1).to_numpy()
         order = np.argsort(key, kind="stable")

@@ -15,6 +15,10 @@ from ._text import U, cache, mix, powers, tables
 #: Distinct words that a worker remembers; when full it starts anew.
 REMEMBERED = 800_000
 
+#: Bytes as byte-level models write them: visible characters as themselves, the others from 256 on.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+
 SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
 
 
@@ -37,6 +41,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.uint16 if self.tokenizer.get_vocab_size() < 1 << 16 else np.uint32
         self.kinds = kinds()
+        #: The model without what comes before it, for words that are cut out already; whether it can be used (None: not known).
+        self.model, self.direct = self.tokenizer.model, None
         self.forget()
 
     def forget(self) -> None:
@@ -123,17 +129,24 @@ class Encoder:
 
     def learn(self, new: list[tuple[int, int]], begin, end, odd, low) -> None:
         data = low.tobytes()
-        plain = [(x, data[begin[k] : end[k]].decode()) for x, k in new if not odd[k]]
+        plain = [(x, data[begin[k] : end[k]]) for x, k in new if not odd[k]]
         for a in range(0, len(plain), 4096):
             part = plain[a : a + 4096]
-            found = self.tokenizer.encode(" ".join(p[1] for p in part), add_special_tokens=False)
+            if self.direct is not False:
+                own = [[t.id for t in self.model.tokenize(w.decode("latin-1").translate(BYTES))] for _, w in part]
+                if self.direct is None:  # the short way must give what the tokenizer does
+                    self.direct = own == [e.ids for e in self.tokenizer.encode_batch([w.decode() for _, w in part], add_special_tokens=False)]
+                if self.direct:
+                    self.add([p[0] for p in part], np.array([i for ids in own for i in ids]), np.array([len(ids) for ids in own]))
+                    continue
+            found = self.tokenizer.encode(" ".join(w.decode() for _, w in part), add_special_tokens=False)
             of = np.array([-1 if x is None else x for x in found.word_ids], dtype=np.int64)
             sizes = np.bincount(of, minlength=len(part)) if len(of) and of[0] >= 0 else np.zeros(0, dtype=np.int64)
             if len(sizes) == len(part) and sizes.min() > 0 and (np.diff(of) >= 0).all():
                 self.add([p[0] for p in part], np.array(found.ids), sizes)
             else:
                 for x, word in part:
-                    self.add_one(x, word)
+                    self.add_one(x, word.decode())
         for x, k in new:
             if odd[k]:
                 self.add_one(x, data[begin[k] : end[k]].decode())
