@@ -69,14 +69,35 @@ def targets(formatted: Column, examples: Column) -> Column:
     return once(formatted, lambda f: F.transform(examples, lambda e: F.struct(e["n"].alias("n"), e["loss_start"].alias("context_chars"), cut(f, e).alias("target"))))
 
 
+def expanded(formatted: DataFrame) -> DataFrame:
+    """A row for each example, and one of nulls for a conversation that has none: conv_id, n, context, target and whole.
+
+    context: the written turns before and the header of its own; target: the trainable text, escaped;
+    whole: formatted, on a conversation's first row only.
+    """
+    rows = formatted.select("conv_id", "formatted", targets(F.col("formatted"), F.col("examples")).alias("cut"))
+    rows = rows.select("conv_id", "formatted", F.posexplode_outer("cut").alias("at", "e"))
+    return rows.select(
+        "conv_id", F.col("e.n").alias("n"), F.substr("formatted", F.lit(1), F.col("e.context_chars").cast("int")).alias("context"), F.col("e.target").alias("target"),
+        F.when(F.coalesce("at", F.lit(0)) == 0, F.col("formatted")).alias("whole"),
+    )
+
+
 def examples(formatted: DataFrame) -> DataFrame:
     """Each example with its texts: conv_id, n, context (all turns before, and its own header) and target (the trainable text, escaped)."""
-    rows = formatted.select("conv_id", "formatted", F.explode(targets(F.col("formatted"), F.col("examples"))).alias("e"))
-    return rows.select("conv_id", F.col("e.n").alias("n"), F.substr("formatted", F.lit(1), F.col("e.context_chars").cast("int")).alias("context"), F.col("e.target").alias("target"))
+    return expanded(formatted).filter("n is not null").select("conv_id", "n", "context", "target")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, turns (role, text; unescaped) as parsed from formatted, and replies, the unescaped targets of its examples."""
+    """conv_id, turns (role, text; unescaped) as parsed from formatted, and replies, read from the expanded examples.
+
+    A reply is the unescaped target of an example whose context ends where an assistant begins to
+    speak; replies are in the order of how much context they have.
+    """
+    speaks = F.endswith("context", F.lit(OPEN + "assistant\n"))
+    reply = F.when(speaks, F.struct(F.octet_length("context").alias("after"), unescape(F.col("target")).alias("text")))
+    rows = expanded(formatted).select("conv_id", "whole", reply.alias("reply"))
+    rows = rows.groupBy("conv_id").agg(F.first("whole", ignorenulls=True).alias("formatted"), F.sort_array(F.collect_list("reply")).alias("replies"))
     parts = F.filter(F.split("formatted", r"<\|im_end\|>\n"), lambda x: x != "")
     inner = F.transform(parts, lambda x: F.substr(x, F.lit(len(OPEN) + 1)))
     turns = F.transform(
@@ -86,5 +107,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
             unescape(F.substr(x, F.instr(x, "\n") + 1)).alias("text"),
         ),
     )
-    replies = F.transform(targets(F.col("formatted"), F.col("examples")), lambda e: unescape(e["target"]))
-    return formatted.select("conv_id", turns.alias("turns"), F.length("formatted").cast("long").alias("formatted_chars"), replies.alias("replies"))
+    return rows.select("conv_id", turns.alias("turns"), F.length("formatted").cast("long").alias("formatted_chars"), F.transform("replies", lambda r: r["text"]).alias("replies"))

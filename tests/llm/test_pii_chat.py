@@ -139,6 +139,16 @@ def test_replies_are_what_the_mask_covers(spark):
         assert C.read_back(done.withColumn("examples", moved)).first().replies != ["hello & bye"]
 
 
+def test_replies_come_from_expanded_examples(spark):
+    """A mask over equal words elsewhere gives no reply: its context isn't what an assistant answers to."""
+    df = spark.createDataFrame([(1, 0, "user", "hello"), (1, 1, "assistant", "hello"), (2, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    done = C.conversations_formatted(df)
+    assert {r.conv_id: r.replies for r in C.read_back(done).collect()} == {1: ["hello"], 2: []}
+    elsewhere = F.transform("examples", lambda e: F.struct(e["n"].alias("n"), F.lit(len("<|im_start|>user\n")).cast("long").alias("loss_start"), e["loss_chars"].alias("loss_chars")))
+    assert {r.conv_id: r.replies for r in C.read_back(done.withColumn("examples", elsewhere)).collect()} == {1: [], 2: []}
+    assert "Generate posexplode" in C.read_back(done)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_long_conversation(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", f"<|{i}&" * (i % 7)) for i in range(3000)]
     r = C.read_back(C.conversations_formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
