@@ -33,8 +33,8 @@ EDITS = 2
 LEAST = 20
 #: Lines of one key that one task compares; keys with more are looked for in one of SAMPLED lines.
 CROWD, SAMPLED = 4096, 64
-#: Letters that are counted, one count in each byte of a signature.
-LETTERS = "etnoiars"
+#: Letters that are counted, one count in each byte of a signature; the last byte is the length's.
+LETTERS = "etnoiar"
 
 
 BLANK = " \t\r\x0b\x0c"
@@ -44,25 +44,40 @@ def lines_of(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda x: F.trim(x))
 
 
-def signature(line: Column) -> Column:
-    """Counts of LETTERS modulo 256, one in each byte."""
-    out = F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
-        count = (F.length(line) - F.length(F.replace(line, F.lit(letter)))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)), 8 * k))
-    return out
+def with_signatures(rows: DataFrame) -> DataFrame:
+    """rows (line, n and others) with sig: counts of LETTERS and n, modulo 256, one in each byte.
+
+    Each letter is looked for in what the ones before have left of the line; a step is a column of
+    its own, so that it is worked out once.
+    """
+    names, left = rows.columns, ["line", *(f"__left{k}" for k in range(len(LETTERS)))]
+    for letter, before, after in zip(LETTERS, left, left[1:]):
+        rows = rows.withColumn(after, F.replace(F.col(before), F.lit(letter), F.lit("")))
+    counts = [F.octet_length(F.col(before)) - F.octet_length(F.col(after)) for before, after in zip(left, left[1:])]
+    sig = F.lit(0).cast("long")
+    for k, count in enumerate([*counts, F.col("n")]):
+        sig = sig.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(255)), 8 * k))
+    return rows.select(*names, sig.alias("sig"))
+
+
+def byte(sig: Column, k: int) -> Column:
+    return F.shiftrightunsigned(sig, 8 * k).bitwiseAND(F.lit(255))
 
 
 def apart(a: Column, b: Column) -> Column:
-    """How much two signatures differ at least: no more than twice the edits between their lines."""
+    """How much two signatures' counts differ at least: no more than twice the edits between their lines."""
     out = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255)) for c in (a, b))
-        d = F.abs(x - y)
+        d = F.abs(byte(a, k) - byte(b, k))
         out = out + F.least(d, 256 - d)
     return out
 
 
+def longer(a: Column, b: Column) -> Column:
+    """How much longer b's line is than a's, if it is by under 256, from their signatures."""
+    return F.pmod(byte(b, len(LETTERS)) - byte(a, len(LETTERS)), F.lit(256))
+
+
 def segment(length: Column, i: int) -> tuple[Column, Column]:
     """Where segment i of a line of some length begins (from 0), and its size."""
     begin, end = (F.floor(length * k / (EDITS + 1)).cast("int") for k in (i, i + 1))
@@ -139,8 +154,8 @@ def near_classes(classes: DataFrame) -> DataFrame:
     """Of classes (id, first, line, n, sig), the ids that have an earlier line within the distance."""
     # four bytes a code point: parts of a line are then found without counting from its beginning
     wide, n = F.encode("line", "UTF-32"), F.col("n")
-    index = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), n.alias("n_a"), F.explode(once(wide, lambda w: index_keys(w, n))).alias("key"))
-    probe = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), n.alias("n_b"), F.explode(once(wide, lambda w: probe_keys(w, n))).alias("key"))
+    index = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.explode(once(wide, lambda w: index_keys(w, n))).alias("key"))
+    probe = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.explode(once(wide, lambda w: probe_keys(w, n))).alias("key"))
     on = ["key"]
     large = crowded(index.select("a", "key"))
     if large:
@@ -152,12 +167,17 @@ def near_classes(classes: DataFrame) -> DataFrame:
     same = F.lit(True)
     for c in on:
         same = same & (index[c] == probe[c])
+    # a key holds the length that it is for, so b's line is as long as a's or up to EDITS longer
+    more = longer(F.col("sig_a"), F.col("sig_b"))
     # lines of one length meet either way round: one way is enough
-    ahead = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    ahead = (more > 0) | (F.col("a") < F.col("b"))
     # a substitution moves two counts, an insertion one, and as many as the lengths differ by are insertions
-    alike = apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS - (F.col("n_b") - F.col("n_a"))
+    alike = apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS - more
     met = index.join(probe, same & ahead & alike)
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    # the lines that are in a pair, so that all others travel once and not for each side
+    asked = pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct())
+    classes = materialise(classes.select("id", "line", "first").join(asked.hint("merge"), "id", "left_semi"), "compared")
     one = classes.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"))
     two = classes.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("first").alias("first_b"))
     close = pairs.join(one, "a").join(two, "b").filter(within(F.col("line_a"), F.col("line_b")))
@@ -176,13 +196,15 @@ def place() -> Column:
 def removed_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, mark (a hash of the text) and gone, the numbers (from 0) of the lines that go, ascending."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    full = rows.filter(F.length(F.trim("line", F.lit(BLANK))) > 0).withColumn("place", place())
-    classes = full.groupBy("line").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    classes = materialise(classes.select("line", "first", (F.col("first") != F.col("last")).alias("repeated"), F.length("line").alias("n"), signature(F.col("line")).alias("sig"), F.monotonically_increasing_id().alias("id")), "lines")
+    full = rows.filter(F.octet_length(F.trim("line", F.lit(BLANK))) > 0)
+    # a line that was found once is no repeated one; which of several go is told by their places
+    classes = full.groupBy("line").agg(F.min(place()).alias("first"), F.count("*").alias("found"))
+    classes = with_signatures(classes.select("line", "first", (F.col("found") > 1).alias("repeated"), F.length("line").alias("n")))
+    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()), "lines")
     near = materialise(near_classes(classes.filter(F.col("n") >= least)).withColumn("near", F.lit(True)), "near")
     hashes = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
-    told = classes.join(near, "id", "left").filter("repeated or near").select(*hashes, "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = full.select("doc_id", "mark", "pos", "place", *hashes).join(told, ["h1", "h2"]).filter("near or place <> first")
+    told = classes.select("id", *hashes, "first", "repeated").join(near, "id", "left").filter("repeated or near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    gone = full.select("doc_id", "mark", "pos", *hashes).join(told, ["h1", "h2"]).filter(F.col("near") | (place() != F.col("first")))
     return gone.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 

@@ -74,6 +74,38 @@ def test_crowded_keys_change_nothing(spark, monkeypatch):
     assert any(r[2] for r in plain)
 
 
+def test_signatures(spark):
+    """Counts and lengths beyond a byte, too: pairs within the distance pass, whatever the line's length."""
+    rng = random.Random(6)
+    pairs = []
+    for n in (20, 254, 255, 256, 257, 300, 1000):
+        for _ in range(40):
+            a = "".join(rng.choice("etnoiarsé") for _ in range(n)) if rng.random() < 0.7 else "e" * n
+            b = edited(rng, a, rng.randint(0, 2))
+            pairs.append((*sorted((a, b), key=len),))
+    df = spark.createDataFrame([(k, x) for k, p in enumerate(pairs) for x in p], "k long, line string").withColumn("n", F.length("line"))
+    sig = {r.line: r.sig for r in L.with_signatures(df).collect()}
+    for line, got in sig.items():
+        want = [line.count(c) % 256 for c in L.LETTERS] + [len(line) % 256]
+        assert [(got >> 8 * k) & 255 for k in range(8)] == want
+    both = spark.createDataFrame([(sig[a], sig[b], len(b) - len(a)) for a, b in pairs], "a long, b long, more long")
+    met = both.select("more", L.longer(F.col("a"), F.col("b")).alias("longer"), L.apart(F.col("a"), F.col("b")).alias("apart")).collect()
+    assert all(r.longer == r.more and r.apart <= 2 * L.EDITS - r.more for r in met)
+
+
+def test_lines_without_a_pair_are_not_compared(spark):
+    """The joins that verify pairs read only lines that are in a pair."""
+    docs = spark.createDataFrame([(i, f"line number {i} of its own kind {i * 7919} " + "xyz"[i % 3] * i) for i in range(50)] + [(99, "line number 3 of its own kind 23757 xxX")], "doc_id long, text string")
+    made = {}
+    keep = L.materialise
+    try:
+        L.materialise = lambda df, name, *more: made.setdefault(name, keep(df, name, *more))
+        assert {r.doc_id for r in L.drop_lines(docs).collect() if r.n_removed} == {99}
+    finally:
+        L.materialise = keep
+    assert 2 <= made["compared"].count() < made["lines"].count() == 51
+
+
 def test_short_and_blank_lines(spark):
     docs = [(1, "a\n\n \t\nb\na"), (2, "b \n\nc\n\t"), (2**62 + 5, "c\nd"), (2**63 - 1, "d\n" + "long " * 20), (-5, "long " * 20 + "x")]
     got = {r.doc_id: r.kept for r in L.drop_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
