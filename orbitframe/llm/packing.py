@@ -216,12 +216,12 @@ class Tree:
 
     @classmethod
     def fit(cls, x: np.ndarray, depth: int) -> Tree:
-        """Each node cuts its documents in half along the line between two means of them."""
+        """Each node cuts its documents (rows of x, of 16 or 32 bits) in half along the line between two means of them."""
         way, cut = np.zeros((max(1, (1 << depth) - 1), WIDTH), dtype=np.float32), np.zeros(max(1, (1 << depth) - 1), dtype=np.float32)
         held = [np.arange(len(x))]
         for node in range((1 << depth) - 1):
             rows = held[node]
-            own = x[rows]
+            own = x[rows].astype(np.float32, copy=False)
             if len(rows) > 1:
                 far = int(np.argmin(own @ own.mean(0)))  # the one least like the others, and the one least like it
                 one, two = own[far], own[int(np.argmin(own @ own[far]))]
@@ -245,6 +245,20 @@ class Tree:
         return node - ((1 << self.depth) - 1)
 
 
+def sparse(x: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """The places of what isn't 0 in each row, and its values in 16 bits."""
+    half = x.astype(np.float16)
+    return [(p.astype(np.uint16).tobytes(), v[p].tobytes()) for v in half for p in [np.flatnonzero(v)]]
+
+
+def sampled(rows) -> np.ndarray:
+    """The vectors of a table of what sparse() gives, in an order of their own; in 16 bits, for the driver's sake."""
+    x = np.zeros((rows.num_rows, WIDTH), dtype=np.float16)
+    for own, place, value in zip(x, rows.column(0), rows.column(1)):
+        own[np.frombuffer(place.as_py(), np.uint16)] = np.frombuffer(value.as_py(), np.float16)
+    return x[sorted(range(len(x)), key=lambda i: x[i].tobytes())]
+
+
 def sketches(docs: list[np.ndarray]) -> np.ndarray:
     """20 bits of a minhash of each document's runs of RUN tokens."""
     flat = np.concatenate(docs).astype(U)
@@ -341,14 +355,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int =
                 doc, place, value = vectors(rows[some], idf)
                 x = np.zeros((len(rows[some]), WIDTH), dtype=np.float32)
                 np.add.at(x, (doc, place), value)
-                yield pa.RecordBatch.from_arrays([pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary())], ["x"])
+                made = sparse(x)
+                yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], pa.binary()) for k in (0, 1)], ["place", "value"])
 
     depth = int(min(DEPTH, np.ceil(np.log2(parts)), max(0, np.log2(max(1, min(total, SAMPLE)) / 4))))
     tree = Tree(0, np.zeros((1, WIDTH), np.float32), np.zeros(1, np.float32))
     cuts = np.zeros(0, dtype=np.int64)
     if parts > 1:
-        x = picked.select("data", "width").limit(SAMPLE).mapInArrow(flat, "x binary").toArrow().column(0).to_pylist()  # 8 KB each
-        tree = Tree.fit(np.array([np.frombuffer(v, np.float16) for v in sorted(x)], dtype=np.float32), depth)
+        tree = Tree.fit(sampled(picked.select("data", "width").limit(SAMPLE).mapInArrow(flat, "place binary, value binary").toArrow()), depth)
 
     sent = spark.sparkContext.broadcast((tree, idf))
 

@@ -227,3 +227,31 @@ def test_a_group_of_copies_is_cut_like_all_else(spark, small_shards):
     for r in got:
         held[r.sequence_id >> 24] = held.get(r.sequence_id >> 24, 0) + (r.start == 0)
     assert max(held.values()) <= 60
+
+
+def test_the_driver_holds_little_of_the_sample():
+    """The sample travels without its zeros; the tree is that of the whole vectors, in little more memory than two copies of them."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from orbitframe.llm import packing
+
+    rng = np.random.default_rng(3)
+    x = np.zeros((packing.SAMPLE, packing.WIDTH), dtype=np.float32)
+    for row in x:
+        row[rng.integers(0, packing.WIDTH, 100)] = rng.random(100) / 10
+    dense = [v.astype(np.float16).tobytes() for v in x]
+    made = packing.sparse(x)
+    table = pa.table({"place": pa.array([m[0] for m in made], pa.binary()), "value": pa.array([m[1] for m in made], pa.binary())})
+    assert table.nbytes < sum(map(len, dense)) / 8
+    want = packing.Tree.fit(np.array([np.frombuffer(v, np.float16) for v in sorted(dense)], dtype=np.float32), 3)
+    del x, dense, made
+    tracemalloc.start()
+    got = packing.Tree.fit(packing.sampled(table), 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got.way == want.way).all() and (got.cut == want.cut).all()
+    assert peak < 2.4 * 4 * packing.SAMPLE * packing.WIDTH, peak
+
