@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -74,6 +75,52 @@ def test_crowded_keys_change_nothing(spark, monkeypatch):
     assert any(r[2] for r in plain)
 
 
+def test_groups_of_near_copies_make_no_square_of_pairs(spark):
+    """Copies of a line with letters put in, most of them more than the distance apart, and copies that are all within it, against the SQL."""
+    import duckdb
+
+    from orbitframe.llm.queries import OP3_SQL
+
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    far, near = "f" + text(118) + "f", "n" + text(78) + "n"
+    lines = []
+    for _ in range(600):
+        i = rng.randrange(len(far))
+        lines += [far[:i] + text(4) + far[i:], edited(rng, near, 1).replace("é", "k")]  # the SQL's distance counts bytes
+    rng.shuffle(lines)
+    docs = [(7 * k, "\n".join(lines[3 * k : 3 * k + 3])) for k in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    made = {}
+    keep = L.materialise
+    try:
+        L.materialise = lambda df, name, *more: made.setdefault(name, keep(df, name, *more))
+        got = sorted((r.doc_id, r.n_removed, r.kept) for r in L.drop_lines(df).collect())
+    finally:
+        L.materialise = keep
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.sql(f"SELECT doc_id, n_removed, kept_sha256 FROM ({OP3_SQL}) ORDER BY doc_id").fetchall()
+    assert [(d, n, hashlib.sha256(kept.encode()).hexdigest()) for d, n, kept in got] == want
+    n = made["lines"].count()
+    assert n > 700 and 500 < sum(r[1] for r in got) and made["pairs"].count() < 40 * n
+
+
+def test_crowded_keys_against_pairs(spark, monkeypatch):
+    """Lines of several lengths and alphabets, both directions: verified within the join, dealt out, or as pairs."""
+    rng = random.Random(12)
+    base = ["a\u00e9\U0001f600 common line with few signs", "e" * 40, "etnoiar" * 40]
+    lines = [edited(rng, rng.choice(base), rng.randint(0, 5)) for _ in range(400)]
+    df = spark.createDataFrame([(k // 2, "\n".join(lines[k : k + 2])) for k in range(0, 400, 2)], "doc_id long, text string")
+    found = []
+    for many, crowd in ((10**9, 4096), (16, 4096), (16, 16)):
+        monkeypatch.setattr(L, "SAMPLED", 2)
+        monkeypatch.setattr(L, "MANY", many)
+        monkeypatch.setattr(L, "CROWD", crowd)
+        found.append(sorted(tuple(r) for r in L.drop_lines(df).collect()))
+    assert found[0] == found[1] == found[2] and 50 < sum(r[2] for r in found[0]) < 400
+
+
 def test_signatures(spark):
     """Counts and lengths beyond a byte, too: pairs within the distance pass, whatever the line's length."""
     rng = random.Random(6)
