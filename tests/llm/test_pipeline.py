@@ -81,6 +81,26 @@ def test_line_dedup_of_odd_rows(spark):
     assert got == sorted(want)  # of texts that are one line the later copies go; rows without an id stay
 
 
+def test_line_dedup_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Copies of a line with letters put in are looked at without a row for each two of them."""
+    import random
+
+    rng, made = random.Random(3), {}
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line = "f" + text(118) + "f"
+    copies = [line[:i] + text(4) + line[i:] for i in (rng.randrange(len(line)) for _ in range(500))]
+    docs = spark.createDataFrame([(k, x, "en", "s", len(x)) for k, x in enumerate(copies)], "doc_id long, text string, lang string, source string, n_chars long")
+    keep = C.line_dedup.materialise
+    monkeypatch.setattr(C.line_dedup, "materialise", lambda df, name, *more: made.setdefault(name, keep(df, name, *more)))
+    left = sorted(r.doc_id for r in C.lines(spark, docs, str(DATA)).collect())
+    assert made["pairs"].count() < 10 * len(copies)
+    con = __import__("duckdb").connect()
+    con.register("d", docs.select("doc_id", "text").toPandas())
+    near = "SELECT a.doc_id FROM d a JOIN d b ON b.doc_id < a.doc_id AND levenshtein(a.text, b.text) <= 2"
+    assert left == [i for (i,) in con.sql(f"SELECT doc_id FROM d WHERE doc_id NOT IN ({near}) ORDER BY doc_id").fetchall()]
+    assert 0 < len(left) < len(copies)
+
+
 def test_a_long_text_passes_every_stage(spark):
     long = "\n".join(" ".join(f"w{(i * 7919 + k) % 50021}" for k in range(20)) + "." for i in range(30_000))  # 4 MB
     docs = spark.createDataFrame([(1, long, "en", "s", len(long)), (2, "short text", "en", "s", 10)], "doc_id long, text string, lang string, source string, n_chars long")
