@@ -83,37 +83,49 @@ def longer(a: Column, b: Column) -> Column:
     return F.pmod(byte(b, len(LETTERS)) - byte(a, len(LETTERS)), F.lit(256))
 
 
-def segment(length: Column, i: int) -> tuple[Column, Column]:
-    """Where segment i of a line of some length begins (from 0), and its size."""
-    begin, end = (F.floor(length * k / (EDITS + 1)).cast("int") for k in (i, i + 1))
-    return begin, end - begin
+def alike(a: Column, b: Column, more: Column) -> Column:
+    """Whether the signatures of two lines, b's longer by `more`, leave it open that they are within EDITS edits."""
+    # a substitution moves two counts, an insertion one, and as many as the lengths differ by are insertions
+    return apart(a, b) <= 2 * EDITS - more
+
+
+def with_cuts(rows: DataFrame) -> DataFrame:
+    """rows (n and others) and where the segments of lines that are 0 to EDITS shorter than n begin, from 0."""
+    n = F.col("n")
+    cuts = {f"__cut{less}_{i}": F.call_function("div", (n - less) * i, F.lit(EDITS + 1)).cast("int") for less in range(EDITS + 1) for i in range(1, EDITS + 1)}
+    return rows.select("*", *[cut.alias(name) for name, cut in cuts.items()])
+
 
+def cut(less: int, i: int) -> Column:
+    """From with_cuts: where segment i begins (or the one before the last segment ends)."""
+    if i == 0:
+        return F.lit(0)
+    return F.col("n") - less if i > EDITS else F.col(f"__cut{less}_{i}")
 
-def key(length: Column, i: int, wide: Column, begin: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(wide, begin * 4 + 1, size * 4))
 
+def key(less: int, i: int, wide: Column, shift: int) -> Column:
+    """The key of segment i for lines of length n - less, with what lies there in this line, some places off."""
+    begin = cut(less, i)
+    return F.xxhash64(F.col("n") - less, F.lit(i), F.substring(wide, (begin + shift) * 4 + 1, (cut(less, i + 1) - begin) * 4))
 
-def index_keys(wide: Column, n: Column) -> Column:
-    return F.array(*[key(n, i, wide, *segment(n, i)) for i in range(EDITS + 1)])
 
+def index_keys(wide: Column) -> Column:
+    return F.array(*[key(0, i, wide, 0) for i in range(EDITS + 1)])
 
-def probe_keys(wide: Column, n: Column) -> Column:
-    """Keys under which a line of length n can meet one that is as long or up to EDITS shorter."""
-    out = []
-    for less in range(EDITS + 1):
-        length = n - less
-        for i in range(EDITS + 1):
-            begin, size = segment(length, i)
-            for shift in range(max(-i, less - (EDITS - i)), min(i, less + (EDITS - i)) + 1):
-                out.append(key(length, i, wide, begin + shift, size))
-    return F.array(*out)
+
+def probe_keys(wide: Column) -> Column:
+    """Keys under which a line of length n can meet one that is as long or up to EDITS shorter; first those that it files."""
+    own = [(0, i, 0) for i in range(EDITS + 1)]
+    asked = [(less, i, shift) for less in range(EDITS + 1) for i in range(EDITS + 1) for shift in range(max(-i, less - (EDITS - i)), min(i, less + (EDITS - i)) + 1)]
+    return F.array(*[key(less, i, wide, shift) for less, i, shift in own + [x for x in asked if x not in own]])
 
 
 def within(a: Column, b: Column) -> Column:
     """Whether two lines are within EDITS edits.
 
     Bit d + EDITS of row e says that the first i characters of a and the first i + d of b are
-    within e edits; a step takes one more character of a.
+    within e edits; a step takes one more character of a.  Steps begin where the lines first
+    differ, and do nothing when no bit is left.
     """
     width = 2 * EDITS + 1
     full = F.lit((1 << width) - 1)
@@ -135,47 +147,51 @@ def within(a: Column, b: Column) -> Column:
                 new = new.bitwiseOR(below).bitwiseOR(F.shiftright(below, 1)).bitwiseOR(F.shiftleft(done[-1], 1)).bitwiseAND(full)
             return once(new, lambda v: moved(e + 1, m, [*done, v]))
 
-        return once(same, lambda m: moved(0, m, []))
+        return F.when(rows[f"r{EDITS}"] == 0, rows).otherwise(once(same, lambda m: moved(0, m, [])))
 
     first = F.struct(*[F.lit(sum(1 << (EDITS + d) for d in range(e + 1))).alias(f"r{e}") for e in range(EDITS + 1)])
 
     def verdict(s):
         gap = F.size(s["y"]) - F.size(s["x"])
-        last = F.aggregate(F.sequence(F.lit(0), F.size(s["x"]) - 1), first, lambda rows, i: step(rows, i, s))[f"r{EDITS}"]
+        differs = F.array_position(F.zip_with(s["x"], s["y"], lambda c, d: c.eqNullSafe(d)), False).cast("int")  # from 1; 0: nowhere
+        left = F.when((differs > 0) & (differs <= F.size(s["x"])), F.sequence(differs - 1, F.size(s["x"]) - 1)).otherwise(F.array().cast("array<int>"))
+        last = F.aggregate(left, first, lambda rows, i: step(rows, i, s))[f"r{EDITS}"]
         wanted = F.get(F.array(*[F.lit(1 << bit) for bit in range(width)]), gap + EDITS)  # null: too unlike in length
         return F.coalesce(last.bitwiseAND(wanted) > 0, F.lit(False))
 
     return once(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y")), verdict)
 
 
-def crowded(index: DataFrame, probe: DataFrame) -> list[tuple[int, int, int]]:
-    """Keys of the index (a, n, key) that MANY lines or so file or probe (b, key) ask for: at most 10,000, the largest.
+def crowded(classes: DataFrame) -> list[tuple[int, int, int]]:
+    """Keys that lines of classes (id, line, n and cuts) file and MANY or so ask for: at most 10,000, the largest.
 
     With each, the length that it is for, and among how many tasks to deal its lines.
     """
-    filed = index.filter(F.pmod(F.xxhash64("a"), F.lit(SAMPLED)) == 0).groupBy("key").agg(F.count("*").alias("filed"), F.min("n").alias("n"))
-    asked = probe.filter(F.pmod(F.xxhash64("b"), F.lit(SAMPLED)) == 0).groupBy("key").agg(F.count("*").alias("asked"))
-    asked = asked.filter(F.col("asked") >= MANY // SAMPLED)  # a line asks for all keys that it files
-    large = filed.join(asked, "key").orderBy(F.desc(F.col("filed") * F.col("asked")), "key").limit(10_000)
+    some = classes.filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLED)) == 0)
+    asked = some.select("n", F.posexplode(once(F.encode("line", "UTF-32"), probe_keys)).alias("at", "key"))
+    own = F.col("at") <= EDITS  # a line asks for all keys that it files
+    found = asked.groupBy("key").agg(F.count_if(own).alias("filed"), F.min(F.when(own, F.col("n"))).alias("n"), F.count("*").alias("asked"))
+    found = found.filter((F.col("filed") > 0) & (F.col("asked") >= MANY // SAMPLED))
+    large = found.orderBy(F.desc(F.col("filed") * F.col("asked")), "key").limit(10_000)
     return [(r.key, r.n, -(-r.filed * SAMPLED // CROWD)) for r in large.collect()]
 
 
 def near_in_crowds(classes: DataFrame, large: list[tuple[int, int, int]]) -> DataFrame:
-    """Of classes (id, first, line, n, sig), the ids that have an earlier line within the distance under one of the keys `large`."""
-    lengths = sorted({n for _, n, _ in large})
+    """Of classes (id, first, line, n, sig and cuts), the ids that have an earlier line within the distance under one of the keys `large`."""
+    lengths = sorted({n + more for _, n, _ in large for more in range(EDITS + 1)})
     ways = F.broadcast(classes.sparkSession.createDataFrame([(k, w) for k, _, w in large], "key long, ways int"))
-    wide, n = F.encode("line", "UTF-32"), F.col("n")
+    asked = classes.filter(F.col("n").isin(lengths)).select("id", "first", "line", "sig", F.posexplode(once(F.encode("line", "UTF-32"), probe_keys)).alias("at", "key"))
+    # all lines are read once for the four sides below
+    asked = materialise(asked.join(ways, "key"), "crowded")
 
-    def side(name: str, keys, lengths: list[int]) -> DataFrame:
-        found = classes.filter(n.isin(lengths)).select(*[F.col(c).alias(f"{c}_{name}") for c in ("id", "first", "line", "sig")], F.explode(once(wide, lambda w: keys(w, n))).alias("key"))
-        return found.join(ways, "key")
+    def side(name: str, rows: DataFrame, way: Column) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{name}") for c in ("id", "first", "line", "sig")], "key", way.alias("way"))
 
-    index = side("a", index_keys, lengths).withColumn("way", F.pmod(F.xxhash64("id_a"), "ways").cast("int")).drop("ways")
-    probe = side("b", probe_keys, sorted({x + more for x in lengths for more in range(EDITS + 1)}))
-    probe = probe.withColumn("way", F.explode(F.sequence(F.lit(0), F.col("ways") - 1))).drop("ways")
+    index = side("a", asked.filter(F.col("at") <= EDITS), F.pmod(F.xxhash64("id"), "ways").cast("int"))
+    probe = side("b", asked, F.explode(F.sequence(F.lit(0), F.col("ways") - 1)))
     more = longer(F.col("sig_a"), F.col("sig_b"))
     # the built-in distance, which is quick to give up, leaves few pairs to the automaton
-    close = (apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS - more) & (F.levenshtein("line_a", "line_b", EDITS) >= 0) & within(F.col("line_a"), F.col("line_b"))
+    close = alike(F.col("sig_a"), F.col("sig_b"), more) & (F.levenshtein("line_a", "line_b", EDITS) >= 0) & within(F.col("line_a"), F.col("line_b"))
     same = (index["key"] == probe["key"]) & (index["way"] == probe["way"])
     late = probe.join(index, same & (F.col("first_a") < F.col("first_b")) & close, "left_semi").select(F.col("id_b").alias("id"))
     # lines of one length meet either way round: above is enough for them
@@ -186,11 +202,10 @@ def near_in_crowds(classes: DataFrame, large: list[tuple[int, int, int]]) -> Dat
 def near_classes(classes: DataFrame) -> DataFrame:
     """Of classes (id, first, line, n, sig), the ids that have an earlier line within the distance."""
     # four bytes a code point: parts of a line are then found without counting from its beginning
-    wide, n = F.encode("line", "UTF-32"), F.col("n")
-    index = classes.select(F.col("id").alias("a"), "n", F.col("sig").alias("sig_a"), F.explode(once(wide, lambda w: index_keys(w, n))).alias("key"))
-    probe = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.explode(once(wide, lambda w: probe_keys(w, n))).alias("key"))
-    large = crowded(index, probe)
-    index = index.drop("n")
+    wide, classes = F.encode("line", "UTF-32"), with_cuts(classes)
+    index = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.explode(once(wide, index_keys)).alias("key"))
+    probe = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.explode(once(wide, probe_keys)).alias("key"))
+    large = crowded(classes)
     if large:
         plain = F.expr(f"key not in ({', '.join(f'{k}L' for k, _, _ in large)})")
         index, probe = index.filter(plain), probe.filter(plain)
@@ -198,9 +213,7 @@ def near_classes(classes: DataFrame) -> DataFrame:
     more = longer(F.col("sig_a"), F.col("sig_b"))
     # lines of one length meet either way round: one way is enough
     ahead = (more > 0) | (F.col("a") < F.col("b"))
-    # a substitution moves two counts, an insertion one, and as many as the lengths differ by are insertions
-    alike = apart(F.col("sig_a"), F.col("sig_b")) <= 2 * EDITS - more
-    met = index.join(probe, (index["key"] == probe["key"]) & ahead & alike)
+    met = index.join(probe, (index["key"] == probe["key"]) & ahead & alike(F.col("sig_a"), F.col("sig_b"), more))
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # the lines that are in a pair, so that all others travel once and not for each side
     asked = pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct())
@@ -218,13 +231,22 @@ def place() -> Column:
     A number, as a struct would turn the aggregation over lines into one that sorts them.
     """
     mark = F.col("mark").bitwiseAND(F.lit((1 << 30) - 1))
-    return ((F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 30).cast("decimal(10,0)") + mark) * F.lit(1 << 32).cast("decimal(10,0)") + F.col("pos")).cast("decimal(38,0)")
+    low = F.shiftleft(mark, 32).bitwiseOR(F.col("pos").cast("long"))
+    return (F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 62).cast("decimal(19,0)") + low).cast("decimal(38,0)")
+
+
+def not_blank(line: Column) -> Column:
+    """Whether a line without spaces at its ends has more than white space; only one that begins with such is looked through."""
+    begins = F.octet_length(F.trim(F.substring(line, 1, 1), F.lit(BLANK))) > 0
+    return begins | (F.octet_length(F.trim(line, F.lit(BLANK))) > 0)
 
 
 def removed_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, mark (a hash of the text) and gone, the numbers (from 0) of the lines that go, ascending."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    full = rows.filter(F.octet_length(F.trim("line", F.lit(BLANK))) > 0)
+    # the mark is a column of its own first: beside the lines it would be worked out for each of them
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), lines_of(F.col("text")).alias("lines"))
+    rows = rows.select("doc_id", "mark", F.posexplode("lines").alias("pos", "line"))
+    full = rows.filter(not_blank(F.col("line")))
     # a line that was found once is no repeated one; which of several go is told by their places
     classes = full.groupBy("line").agg(F.min(place()).alias("first"), F.count("*").alias("found"))
     classes = with_signatures(classes.select("line", "first", (F.col("found") > 1).alias("repeated"), F.length("line").alias("n")))

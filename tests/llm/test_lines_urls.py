@@ -121,6 +121,46 @@ def test_crowded_keys_against_pairs(spark, monkeypatch):
     assert found[0] == found[1] == found[2] and 50 < sum(r[2] for r in found[0]) < 400
 
 
+def test_verification_ends_early(spark):
+    """Lines that soon are too far apart cost few steps, and ones of which one begins the other are told."""
+    import time
+
+    rng = random.Random(13)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    told = [("abc", "abc"), ("abc", "abcd"), ("abc", "abcde"), ("abc", "abcdef"), ("abcd", "abc"), ("abcdef", "abc"), ("a", "b"), ("a", "bcd"), ("abcabc", "bcabca"), ("\u00e9\U0001f600x", "\u00e9x")]
+    got = spark.createDataFrame(told, "a string, b string").select("a", "b", L.within(F.col("a"), F.col("b")).alias("w")).collect()
+    assert [r.w for r in got] == [distance(a, b) <= L.EDITS for a, b in told]
+    near, far = [], []
+    for _ in range(400):
+        a = text(1500)
+        near.append(("x" + a, "y" + a))
+        far.append((a, text(1500)))
+    seconds = {}
+    for name, pairs, want in (("near", near, 400), ("far", far, 0)) * 2:
+        df = spark.createDataFrame(pairs, "a string, b string").coalesce(1).cache()
+        df.count()
+        began = time.time()
+        assert df.filter(L.within(F.col("a"), F.col("b"))).count() == want
+        seconds[name] = time.time() - began
+        df.unpersist()
+    assert seconds["far"] < 0.6 * seconds["near"], seconds
+
+
+def test_work_for_each_line(spark, monkeypatch):
+    """A text is hashed once and not for each of its lines; lines of crowded keys are read once for all joins."""
+    monkeypatch.setattr(L, "SAMPLED", 2)
+    lines = [f"\t{i} a line that many others are like " + "abcdefgh"[i % 8] * (i % 3) for i in range(400)] + ["\t\r", "\x0b \x0c", "\t \tx", "\tx"] * 2
+    docs = spark.createDataFrame([(i, "\n".join(lines[4 * i : 4 * i + 4])) for i in range(102)], "doc_id long, text string")
+    made = {}
+    keep = L.materialise
+    monkeypatch.setattr(L, "materialise", lambda df, name, *more: made.setdefault(name, (keep(df, name, *more), df))[0])
+    gone = L.removed_lines(docs)
+    plan = gone._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Generate posexplode") < plan.index("xxhash64(text")
+    assert made["near"][0].count() > 100 and not [f for f in made["near"][1].inputFiles() if "/lines-" in f]
+    assert {r.doc_id: r.gone for r in gone.collect() if r.doc_id >= 100} == {101: [2, 3]}  # blank lines stay
+
+
 def test_signatures(spark):
     """Counts and lengths beyond a byte, too: pairs within the distance pass, whatever the line's length."""
     rng = random.Random(6)
