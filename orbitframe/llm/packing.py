@@ -24,6 +24,7 @@ task's; an empty table gives an empty one; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -206,6 +207,58 @@ def portions(docs: list[np.ndarray], most: int = 1 << 19) -> Iterator[slice]:
         yield slice(first, len(docs))
 
 
+class Rows:
+    """Rows of WIDTH columns without their zeros; steps over them take about BLOCK entries at a time."""
+
+    BLOCK = 1 << 18
+
+    def __init__(self, size: np.ndarray, place: np.ndarray, value: np.ndarray):
+        """size: of each row, how many entries it has; place and value: the entries of all rows, one row after another."""
+        self.size, self.place, self.value = size, place, value
+        self.begin = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Rows:
+        """The rows of an array."""
+        row, place = np.nonzero(x)
+        return cls(np.bincount(row, minlength=len(x)), place.astype(np.uint16), x[row, place])
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Stretches of rows, and of their entries the row (from the stretch's first), place and value."""
+        first = 0
+        while first < len(self):
+            last = max(first + 1, int(np.searchsorted(self.begin, self.begin[first] + self.BLOCK, side="right")) - 1)
+            at = slice(self.begin[first], self.begin[last])
+            yield slice(first, last), np.repeat(np.arange(last - first), self.size[first:last]), self.place[at], self.value[at].astype(np.float32)
+            first = last
+
+    def dot(self, v: np.ndarray) -> np.ndarray:
+        """Each row's product with a vector."""
+        out = np.zeros(len(self), dtype=np.float32)
+        for rows, row, place, value in self.blocks():
+            out[rows] = np.bincount(row, weights=value * v[place], minlength=rows.stop - rows.start)
+        return out
+
+    def mean(self, chosen: np.ndarray) -> np.ndarray:
+        """The mean of the chosen rows (true in a mask)."""
+        out = np.zeros(WIDTH)
+        for rows, row, place, value in self.blocks():
+            out += np.bincount(place, weights=value * chosen[rows][row], minlength=WIDTH)
+        return (out / np.count_nonzero(chosen)).astype(np.float32)
+
+    def row(self, i: int) -> np.ndarray:
+        out, at = np.zeros(WIDTH, dtype=np.float32), slice(self.begin[i], self.begin[i + 1])
+        out[self.place[at]] = self.value[at]
+        return out
+
+    def only(self, chosen: np.ndarray) -> Rows:
+        kept = np.repeat(chosen, self.size)
+        return Rows(self.size[chosen], self.place[kept], self.value[kept])
+
+
 @dataclass
 class Tree:
     """Cuts of a full binary tree, from the top: a document goes right where way @ vector is cut or more."""
@@ -215,25 +268,24 @@ class Tree:
     cut: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, depth: int) -> Tree:
-        """Each node cuts its documents (rows of x, of 16 or 32 bits) in half along the line between two means of them."""
+    def fit(cls, x: Rows | np.ndarray, depth: int) -> Tree:
+        """Each node cuts its documents (rows of x) in half along the line between two means of them."""
         way, cut = np.zeros((max(1, (1 << depth) - 1), WIDTH), dtype=np.float32), np.zeros(max(1, (1 << depth) - 1), dtype=np.float32)
-        held = [np.arange(len(x))]
+        held = deque([x if isinstance(x, Rows) else Rows.of(x)])
         for node in range((1 << depth) - 1):
-            rows = held[node]
-            own = x[rows].astype(np.float32, copy=False)
-            if len(rows) > 1:
-                far = int(np.argmin(own @ own.mean(0)))  # the one least like the others, and the one least like it
-                one, two = own[far], own[int(np.argmin(own @ own[far]))]
+            own = held.popleft()
+            if len(own) > 1:
+                far = int(np.argmin(own.dot(own.mean(np.ones(len(own), dtype=bool)))))  # the one least like the others, and the one least like it
+                one, two = own.row(far), own.row(int(np.argmin(own.dot(own.row(far)))))
                 for _ in range(4):
-                    right = own @ (two - one) > 0
+                    right = own.dot(two - one) > 0
                     if right.all() or not right.any():
                         break
-                    one, two = own[~right].mean(0), own[right].mean(0)
+                    one, two = own.mean(~right), own.mean(right)
                 way[node] = two - one
-            side = own @ way[node]
-            cut[node] = np.median(side) if len(rows) else 0
-            held += [rows[side < cut[node]], rows[side >= cut[node]]]
+            side = own.dot(way[node])
+            cut[node] = np.median(side) if len(own) else 0
+            held += [own.only(side < cut[node]), own.only(side >= cut[node])]
         return cls(depth, way, cut)
 
     def leaves(self, doc: np.ndarray, place: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
@@ -251,12 +303,18 @@ def sparse(x: np.ndarray) -> list[tuple[bytes, bytes]]:
     return [(p.astype(np.uint16).tobytes(), v[p].tobytes()) for v in half for p in [np.flatnonzero(v)]]
 
 
-def sampled(rows) -> np.ndarray:
-    """The vectors of a table of what sparse() gives, in an order of their own; in 16 bits, for the driver's sake."""
-    x = np.zeros((rows.num_rows, WIDTH), dtype=np.float16)
-    for own, place, value in zip(x, rows.column(0), rows.column(1)):
-        own[np.frombuffer(place.as_py(), np.uint16)] = np.frombuffer(value.as_py(), np.float16)
-    return x[sorted(range(len(x)), key=lambda i: x[i].tobytes())]
+def sampled(rows) -> Rows:
+    """The vectors of a table of what sparse() gives, in an order of their own; without zeros, for the driver's sake."""
+    made = []
+    for place, value in zip(rows.column(0), rows.column(1)):
+        place, value = np.frombuffer(place.as_py(), np.uint16), np.frombuffer(value.as_py(), np.float16)
+        # the order is that of the whole vectors' bytes: of two, the one whose next entry comes first is greater
+        key = np.column_stack([(WIDTH - place).astype(">u2").view(np.uint8).reshape(-1, 2), value.view(np.uint8).reshape(-1, 2)])
+        made.append((key.tobytes(), place, value))
+    made.sort(key=lambda m: m[0])
+    none = np.zeros(0, dtype=np.uint16)
+    size = np.array([len(m[1]) for m in made], dtype=np.int64)
+    return Rows(size, np.concatenate([none, *(m[1] for m in made)]), np.concatenate([none.astype(np.float16), *(m[2] for m in made)]))
 
 
 def sketches(docs: list[np.ndarray]) -> np.ndarray:

@@ -132,3 +132,27 @@ def test_hubs(spark):
     edges = [(5, i) for i in range(1000, 3000)] + [(i, i + 1) for i in range(1000, 1100)] + [(4000 + i, 4001 + i) for i in range(0, 100, 2)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert all(got[i] == 5 for i in [5, *range(1000, 3000)]) and all(got[4001 + i] == 4000 + i for i in range(0, 100, 2))
+
+
+def test_components_in_few_tables(spark, monkeypatch):
+    """What a task can link up takes no shuffle: stars one table, other edges two; larger tables come out right too."""
+    from orbitframe.llm import components as K
+
+    made, keep = [], K.materialise
+    monkeypatch.setattr(K, "materialise", lambda df, name, *more: made.append(name) or keep(df, name, *more))
+    edges = [(5, i) for i in range(1000, 1400)] + [(7, 6), (6, 7), (9, 9)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(7), "t").collect()}
+    assert got == {i: 5 for i in [5, *range(1000, 1400)]} | {6: 6, 7: 6}
+    assert len(made) == 1
+    rng = random.Random(8)
+    edges = [(rng.randrange(-300, 300) * 2**52, rng.randrange(-300, 300) * 2**52) for _ in range(260)] + [(i, i + 1) for i in range(1, 60)]
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    for portion, tables in ((1 << 18, [2]), (64, range(3, 99))):
+        made.clear()
+        monkeypatch.setattr(K, "PORTION", portion)
+        rows = components(spark.createDataFrame(edges, "a long, b long").repartition(5), "t").collect()
+        assert len(rows) == len(root) and {r.node: r.component for r in rows} == root and len(made) in tables

@@ -229,6 +229,41 @@ def test_a_group_of_copies_is_cut_like_all_else(spark, small_shards):
     assert max(held.values()) <= 60
 
 
+def test_the_driver_holds_no_whole_vectors():
+    """The sample stays without its zeros while the tree is fitted: whole vectors of 16 bits would take 32 MB, and their root 64 more."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from orbitframe.llm import packing
+
+    rng, rows = np.random.default_rng(4), []
+    for k in range(packing.SAMPLE):  # four topics, each with places of its own
+        place = np.unique(rng.integers(k % 4 * 1000, k % 4 * 1000 + 1000, 100)).astype(np.uint16)
+        rows.append((place.tobytes(), (rng.random(len(place)) / 10 + 0.01).astype(np.float16).tobytes()))
+    table = pa.table({"place": pa.array([r[0] for r in rows], pa.binary()), "value": pa.array([r[1] for r in rows], pa.binary())})
+    tracemalloc.start()
+    some = packing.sampled(table)
+    tree = packing.Tree.fit(some, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * packing.SAMPLE * packing.WIDTH, peak
+    # the same from whole vectors
+    x, held = np.array([some.row(i) for i in range(len(some))]), [np.arange(len(some))]
+    assert [r.astype(np.float16).tobytes() for r in x] == sorted(r.astype(np.float16).tobytes() for r in x)
+    for node in range(3):
+        own = x[held[node]]
+        far = int(np.argmin(own @ own.mean(0)))
+        one, two = own[far], own[int(np.argmin(own @ own[far]))]
+        for _ in range(4):
+            right = own @ (two - one) > 0
+            one, two = own[~right].mean(0), own[right].mean(0)
+        side = own @ (two - one)
+        assert np.allclose(tree.way[node], two - one, atol=1e-6) and np.isclose(tree.cut[node], np.median(side), atol=1e-6)
+        held += [held[node][side < np.median(side)], held[node][side >= np.median(side)]]
+
+
 def test_the_driver_holds_little_of_the_sample():
     """The sample travels without its zeros; the tree is that of the whole vectors, in little more memory than two copies of them."""
     import tracemalloc
