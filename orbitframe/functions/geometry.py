@@ -367,12 +367,27 @@ def box_in_area(box: dict[str, Column], area: Area) -> Column:
     return F.coalesce(F.when(area.near(box), held), F.lit(False))
 
 
-def box_meets_polygons(box: dict[str, Column], edges: Column, corners: Column) -> Column:
-    """Whether a box shares a point with polygons that are columns too."""
-    own = box_edges(box)
-    touching = F.exists(edges, lambda e: F.exists(own, lambda f: edges_meet(e, f)))
-    inside = F.exists(corners, lambda c: (c["x"] >= box["minx"]) & (c["x"] <= box["maxx"]) & (c["y"] >= box["miny"]) & (c["y"] <= box["maxy"]))
-    return touching | inside | point_in(box["minx"], box["miny"], edges)
+def outline_of(polygons: Column) -> Column:
+    """The edges of polygons, and outer rings of one point as edges from it to itself."""
+    lone = F.filter(F.transform(polygons, lambda p: F.get(p, F.lit(0))), lambda r: F.size(r) == 1)
+    return F.concat(edges_of(polygons), edges_of(F.transform(lone, lambda r: F.array(F.concat(r, r)))))
+
+
+def edge_meets_box(e: Column, box: dict[str, Column]) -> Column:
+    """Whether an edge shares a point with a box or its inside: their bounds meet, and the box isn't all on one side of the edge."""
+    over = F.lit(True)
+    for k in ("x", "y"):
+        over = over & (F.least(e["a" + k], e["b" + k]) <= box["max" + k]) & (F.greatest(e["a" + k], e["b" + k]) >= box["min" + k])
+    # a corner's turn is one of `up` less one of `across`: the least is at most 0, the greatest at least 0
+    up = [(e["bx"] - e["ax"]) * (box[k] - e["ay"]) for k in ("miny", "maxy")]
+    across = [(e["by"] - e["ay"]) * (box[k] - e["ax"]) for k in ("minx", "maxx")]
+    return over & (F.least(*up) <= F.greatest(*across)) & (F.greatest(*up) >= F.least(*across))
+
+
+def box_meets_polygons(box: dict[str, Column], outline: Column, bounds: dict[str, Column]) -> Column:
+    """Whether a box shares a point with polygons that are columns too, given by their outline_of and bounds."""
+    within = box_within(box, bounds) & point_in(box["minx"], box["miny"], outline)  # no edge meets the box
+    return F.exists(outline, lambda e: edge_meets_box(e, box)) | within
 
 
 # Tolerances in degrees, in the order in which they are tried.

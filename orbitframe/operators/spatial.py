@@ -80,14 +80,15 @@ def box_cells(boxes: DataFrame, cells: DataFrame, origin: tuple[float, float], d
     that isn't near.  polygons: a column with the polygons that the boxes are the bounds of, which
     then decide.
     """
+    if polygons:
+        boxes = boxes.withColumn("__outline", G.outline_of(F.col(polygons)))  # once for a box, not for each of its cells
     named = cell_names(boxes, origin, dx, dy, size)
     a = {c: F.col("b_" + c) for c in ("minx", "miny", "maxx", "maxy")}
     b = {c: F.col(c) for c in ("minx", "miny", "maxx", "maxy")}
-    met = named.join(cells, (F.col("__row") == F.col("row")) & (F.col("__col") == F.col("col")) & G.boxes_meet(a, b)).drop("__row", "__col")
+    met = G.boxes_meet(a, b)
     if polygons:
-        corners = F.transform(polygons, lambda p: F.get(F.get(p, F.lit(0)), F.lit(0)))
-        met = met.filter(G.box_meets_polygons(b, G.edges_of(F.col(polygons)), corners))
-    return met
+        met = met & G.box_meets_polygons(b, F.col("__outline"), a)  # in the join, where the boxes' test comes first
+    return named.join(cells, (F.col("__row") == F.col("row")) & (F.col("__col") == F.col("col")) & met).drop("__row", "__col", "__outline")
 
 
 def coverage(boxes: DataFrame, cells: DataFrame, origin: tuple[float, float], dx: float, dy: float, size: tuple[int, int] | None = None, polygons: str | None = None) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,27 @@ def test_grids(spark):
             bad()
 
 
+def test_polygons_meet_the_cells_that_they_share_a_point_with(spark):
+    rng, size = random.Random(7), (8, 10)
+    shapes = ["POLYGON ((1 1, 7 1, 7 7, 1 7, 1 1), (1.9 1.9, 6.1 1.9, 6.1 6.1, 1.9 6.1, 1.9 1.9))", "POLYGON ((-5 -5, 30 -5, 30 30, -5 -5))", "POLYGON ((2.2 2.2, 2.3 2.2, 2.2 2.3, 2.2 2.2))"]
+    shapes += ["MULTIPOLYGON (((0 0, 1 0, 0 1, 0 0)), ((4 4, 6 4, 4 6, 4 4)))", "POLYGON ((0 0, 9 0, 9 7, 8 7, 8 1, 0 1, 0 0))"]
+    for _ in range(120):  # corners lie on the cells' edges and corners too
+        shapes.append(G.ring_text([[G.hull([(rng.randrange(-2, 22) / 2, rng.randrange(-2, 18) / 2) for _ in range(rng.randrange(3, 7))])]]))
+        star = [(rng.randrange(0, 40) / 4, rng.randrange(0, 32) / 4) for _ in range(rng.randrange(3, 8))]
+        shapes.append(G.ring_text([[[*star, star[0]]]]))
+    found = spark.createDataFrame(list(enumerate(shapes)), "k int, wkt string").withColumn("polygons", G.from_wkt(F.col("wkt"))).withColumn("b", G.bounds(F.col("polygons")))
+    found = found.select("k", "polygons", *[F.col("b")[c].alias("b_" + c) for c in ("minx", "miny", "maxx", "maxy")])
+    got = rows(SP.box_cells(found, SP.grid(spark, (0, 0, 10, 8), 1), (0, 0), 1, 1, size, "polygons").select("k", "row", "col"))
+    cell = lambda r, c: f"POLYGON (({c} {r}, {c + 1} {r}, {c + 1} {r + 1}, {c} {r + 1}, {c} {r}))"
+    assert got == [(k, r, c) for k, w in enumerate(shapes) for r in range(8) for c in range(10) if G.meet(w, cell(r, c))]
+
+
+def test_a_point_and_a_missing_polygon_among_polygons(spark):
+    some = [(1, [[[(2.5, 3.5)]]], 2.5, 3.5, 2.5, 3.5), (2, None, 0.0, 0.0, 4.0, 4.0), (3, [], 0.0, 0.0, 4.0, 4.0)]
+    boxes = spark.createDataFrame(some, f"k int, polygons {G.POLYGONS}, b_minx double, b_miny double, b_maxx double, b_maxy double")
+    assert rows(SP.box_cells(boxes, SP.grid(spark, (0, 0, 4, 4), 1), (0, 0), 1, 1, (4, 4), "polygons").select("k", "row", "col")) == [(1, 3, 2)]
+
+
 def test_batches_by_length():
     box = [G.ring_text([[[(i, 0), (i + 1, 0), (i + 1, 1), (i, 0)]]]) for i in range(5)]
     out = SP.batches_by_length(box, len(SP.joint(box[:2])))

@@ -33,6 +33,13 @@ def test_a_coverage_join_is_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_polygons_are_taken_apart_once_before_the_join(spark):
+    plan = catalogue.QUERIES["footprint_polygons"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    (join,) = [x for x in plan.splitlines() if "Join [__row" in x]
+    assert "zip_with" not in join and "transform" not in join
+    assert join.index("b_minx") < join.index("b_maxy") < join.index("exists(")  # the boxes' test comes first
+
+
 def test_yearly_windows_are_ranges_of_the_scan(spark):
     plan = catalogue.QUERIES["yearly_windows"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "GreaterThanOrEqual(o_orderdate,1995-02-01" in plan
